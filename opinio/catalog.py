@@ -94,3 +94,195 @@ SELECT count(*) AS processed_articles,
 FROM body WHERE length(body) > 0""")
 def q_processed_count(spark, sf):
     return WF.processed_count(S.bodies(spark, sf))
+
+
+# ----------------------------------------------------------------------------------------
+# Sentiment chain
+# ----------------------------------------------------------------------------------------
+
+from .operators import sentiment as V  # noqa: E402
+from .operators import stats as G  # noqa: E402
+from .plans import model as MD  # noqa: E402
+
+
+@register("lexicon_score", f"""
+WITH {D.SCORES_CTE}
+SELECT doc_id, n_hits, valence_sum, compound FROM lscores""")
+def q_lexicon_score(spark, sf):
+    return V.lexicon_scores(S.bodies(spark, sf), MD.lexicon(spark))
+
+
+@register("label_scored", f"""
+WITH {D.SCORES_CTE}
+SELECT doc_id, compound, score, label FROM scores""")
+def q_label_scored(spark, sf):
+    return MD.scores(spark, sf)
+
+
+@register("label_loaded", f"""
+WITH {D.SCORES_CTE}
+SELECT doc_id, score, {D.label_loaded('score')} AS sentiment FROM scores""")
+def q_label_loaded(spark, sf):
+    return V.loaded_label(MD.scores(spark, sf))
+
+
+@register("sentiment_rates", f"""
+WITH {D.SCORES_CTE}
+SELECT doc_id, score, {D.rates_sql('score')} FROM scores""")
+def q_sentiment_rates(spark, sf):
+    return V.rates(MD.scores(spark, sf))
+
+
+@register("load_sentiment", f"""
+WITH {D.SENT_CTE}
+SELECT * FROM sentiment_analysis""")
+def q_load_sentiment(spark, sf):
+    return MD.sentiment_table(spark, sf)
+
+
+@register("min_words_filter", f"""
+WITH {D.BODY_CTE}
+SELECT doc_id, CAST({D.word_count_ws('body')} AS INTEGER) AS n_words FROM body
+WHERE {D.word_count_ws('body')} >= 10""")
+def q_min_words_filter(spark, sf):
+    return V.min_words(S.bodies(spark, sf)).drop("body")
+
+
+@register("class_counts", f"""
+WITH {D.SCORES_CTE}
+SELECT label, count(*) AS count FROM scores GROUP BY label
+UNION ALL SELECT 'total' AS label, count(*) AS count FROM scores""")
+def q_class_counts(spark, sf):
+    return V.class_counts(MD.scores(spark, sf))
+
+
+@register("class_counts_wide", f"""
+WITH {D.SCORES_CTE}
+SELECT count(*) FILTER (WHERE label = 'positive') AS positive,
+       count(*) FILTER (WHERE label = 'neutral') AS neutral,
+       count(*) FILTER (WHERE label = 'negative') AS negative, count(*) AS total FROM scores""")
+def q_class_counts_wide(spark, sf):
+    return V.class_counts_wide(MD.scores(spark, sf))
+
+
+@register("top5_by_class", f"""
+WITH {D.SCORES_CTE}, {D.TITLES_CTE},
+s AS (SELECT * FROM scores JOIN titles USING (doc_id))
+(SELECT label, doc_id, title, score FROM s WHERE label = 'positive' ORDER BY compound DESC, title, doc_id LIMIT 5)
+UNION ALL
+(SELECT label, doc_id, title, score FROM s WHERE label = 'negative' ORDER BY compound ASC, title, doc_id LIMIT 5)""")
+def q_top5_by_class(spark, sf):
+    return V.top_by_class(MD.scores(spark, sf), MD.titles(spark, sf), 5)
+
+
+_REPORT_KEY = ("CASE WHEN label = 'positive' THEN -compound WHEN label = 'negative' THEN compound "
+               "ELSE abs(compound) END")
+
+
+@register("ranked_report_lines", f"""
+WITH {D.SCORES_CTE}, {D.TITLES_CTE},
+r AS (SELECT CASE label WHEN 'positive' THEN 1 WHEN 'negative' THEN 2 ELSE 3 END AS section,
+             row_number() OVER (PARTITION BY label ORDER BY {_REPORT_KEY}, title, doc_id) AS rank,
+             title, score FROM scores JOIN titles USING (doc_id)),
+c AS (SELECT count(*) FILTER (WHERE label = 'positive') AS p, count(*) FILTER (WHERE label = 'negative') AS n,
+             count(*) FILTER (WHERE label = 'neutral') AS u, count(*) AS t FROM scores)
+SELECT CAST(section AS INTEGER) AS section, CAST(rank AS BIGINT) AS rank,
+       CAST(rank AS VARCHAR) || '. ' || title || ' (得分: ' || CAST(score AS VARCHAR) || ')' AS line FROM r
+UNION ALL SELECT 0, 1, '情感分析详细结果' UNION ALL SELECT 0, 2, '=============='
+UNION ALL SELECT 0, 3, '汇总统计:'
+UNION ALL SELECT 0, 4, '正向报道: ' || p || '篇' FROM c UNION ALL SELECT 0, 5, '负面报道: ' || n || '篇' FROM c
+UNION ALL SELECT 0, 6, '中性报道: ' || u || '篇' FROM c UNION ALL SELECT 0, 7, '总计: ' || t || '篇' FROM c
+UNION ALL SELECT 1, 0, '正向报道列表 (共' || p || '篇):' FROM c
+UNION ALL SELECT 2, 0, '负面报道列表 (共' || n || '篇):' FROM c
+UNION ALL SELECT 3, 0, '中性报道列表 (共' || u || '篇):' FROM c""")
+def q_ranked_report_lines(spark, sf):
+    return V.ranked_report_lines(MD.scores(spark, sf), MD.titles(spark, sf))
+
+
+# ----------------------------------------------------------------------------------------
+# Statistics and verification
+# ----------------------------------------------------------------------------------------
+
+@register("source_statistics", f"""
+WITH {D.CORPUS_CTE}, {D.SENT_CTE},
+j AS (SELECT c.source, c.type, sa.sentiment, sa.sentiment_score FROM corpus c
+      LEFT JOIN sentiment_analysis sa ON c.id = sa.corpus_id)
+SELECT DATE '{MD.STAT_DATE}' AS stat_date, source, count(*) AS total_count,
+       count(*) FILTER (WHERE type = 'text') AS text_count, count(*) FILTER (WHERE type = 'image') AS image_count,
+       count(*) FILTER (WHERE type = 'video') AS video_count,
+       count(*) FILTER (WHERE sentiment = 'positive') AS positive_count,
+       count(*) FILTER (WHERE sentiment = 'neutral') AS neutral_count,
+       count(*) FILTER (WHERE sentiment = 'negative') AS negative_count,
+       {D.avg6_to2('sentiment_score')} AS avg_sentiment
+FROM j GROUP BY source""")
+def q_source_statistics(spark, sf):
+    return G.source_statistics(S.corpus(spark, sf), MD.sentiment_table(spark, sf), MD.STAT_DATE)
+
+
+@register("corpus_statistics", f"""
+WITH {D.CORPUS_CTE}
+SELECT source, type, strftime(publish_date, '%Y-%m') AS month, count(*) AS count
+FROM corpus GROUP BY source, type, strftime(publish_date, '%Y-%m')""")
+def q_corpus_statistics(spark, sf):
+    return G.corpus_statistics(S.corpus(spark, sf))
+
+
+@register("sentiment_statistics", f"""
+WITH {D.CORPUS_CTE}, {D.SENT_CTE}
+SELECT c.source, sa.sentiment, count(*) AS count, {D.avg6('sa.sentiment_score')} AS avg_score
+FROM corpus c LEFT JOIN sentiment_analysis sa ON c.id = sa.corpus_id GROUP BY c.source, sa.sentiment""")
+def q_sentiment_statistics(spark, sf):
+    return G.sentiment_statistics(S.corpus(spark, sf), MD.sentiment_table(spark, sf))
+
+
+@register("media_activity", f"""
+WITH {D.CORPUS_CTE},
+per AS (SELECT media_name, source, strftime(publish_date, '%Y-%m') AS stat_month, count(*) AS article_count
+        FROM corpus GROUP BY media_name, source, strftime(publish_date, '%Y-%m')),
+mx AS (SELECT stat_month, max(article_count) AS m FROM per GROUP BY stat_month)
+SELECT media_name, source, article_count,
+       CAST(CAST(article_count * 100 AS DECIMAL(38,6)) / m AS DECIMAL(5,2)) AS activity_score, stat_month
+FROM per JOIN mx USING (stat_month)""")
+def q_media_activity(spark, sf):
+    return G.media_activity(S.corpus(spark, sf))
+
+
+@register("q_corpus_count", "SELECT count(*) AS n FROM documents")
+def q_corpus_count(spark, sf):
+    return G.q_count(S.corpus(spark, sf))
+
+
+@register("q_source_count", "SELECT lang AS source, count(*) AS count FROM documents GROUP BY lang")
+def q_source_count(spark, sf):
+    return G.q_source_count(S.corpus(spark, sf))
+
+
+@register("q_sentiment_count", f"WITH {D.SENT_CTE} SELECT count(*) AS n FROM sentiment_analysis")
+def q_sentiment_count(spark, sf):
+    return G.q_count(MD.sentiment_table(spark, sf))
+
+
+@register("q_sentiment_distribution", f"""
+WITH {D.SENT_CTE}
+SELECT sentiment, count(*) AS count, {D.avg6('sentiment_score')} AS avg_score
+FROM sentiment_analysis GROUP BY sentiment""")
+def q_sentiment_distribution(spark, sf):
+    return G.q_sentiment_distribution(MD.sentiment_table(spark, sf))
+
+
+@register("q_top_positive", f"""
+WITH {D.CORPUS_CTE}, {D.SENT_CTE}
+SELECT c.id, c.title, c.source, sa.sentiment, sa.sentiment_score
+FROM corpus c JOIN sentiment_analysis sa ON c.id = sa.corpus_id
+ORDER BY sa.sentiment_score DESC, c.id LIMIT 5""")
+def q_top_positive(spark, sf):
+    return G.q_top_sentiment(S.corpus(spark, sf), MD.sentiment_table(spark, sf), 5, True)
+
+
+@register("q_top_negative", f"""
+WITH {D.CORPUS_CTE}, {D.SENT_CTE}
+SELECT c.id, c.title, c.source, sa.sentiment, sa.sentiment_score
+FROM corpus c JOIN sentiment_analysis sa ON c.id = sa.corpus_id
+ORDER BY sa.sentiment_score ASC, c.id LIMIT 5""")
+def q_top_negative(spark, sf):
+    return G.q_top_sentiment(S.corpus(spark, sf), MD.sentiment_table(spark, sf), 5, False)

@@ -61,3 +61,61 @@ WORDS_CTE = f"""words AS (
   SELECT {singular('t')} AS word FROM (
     SELECT unnest({tokens('body')}) AS t FROM body WHERE length(body) > 0)
   WHERE t NOT IN {stop_list()})"""
+
+
+def _lex_values() -> str:
+    from .sources.lexicon import fixture_values_sql
+    return fixture_values_sql()
+
+
+# Scores: V1 over every document body with the fixture lexicon, then V3 / V9.
+SCORES_CTE = f"""{BODY_CTE},
+tk AS (SELECT doc_id, {tokens('body')} AS t FROM body),
+toks AS (SELECT doc_id, unnest(CASE WHEN len(t) = 0 THEN [NULL::VARCHAR] ELSE t END) AS token FROM tk),
+lex AS (SELECT * FROM {_lex_values()}),
+agg AS (SELECT doc_id, count(valence) AS n_hits,
+               CAST(coalesce(sum(valence), 0) AS DECIMAL(18,2)) AS valence_sum
+        FROM toks LEFT JOIN lex USING (token) GROUP BY doc_id),
+lscores AS (SELECT doc_id, n_hits, valence_sum,
+           least(greatest(CAST(valence_sum AS DOUBLE) / sqrt(CAST(valence_sum AS DOUBLE) * CAST(valence_sum AS DOUBLE) + 15.0), -1.0), 1.0) AS compound
+        FROM agg),
+scores AS (SELECT doc_id, compound, CAST(compound AS DECIMAL(4,3)) AS score,
+           CASE WHEN compound >= 0.05 THEN 'positive' WHEN compound <= -0.05 THEN 'negative' ELSE 'neutral' END AS label
+           FROM lscores)"""
+
+
+def rates_sql(s: str) -> str:
+    return (f"CAST(abs({s}) * 100 AS DECIMAL(5,2)) AS confidence, "
+            f"CAST(greatest({s}, 0) * 100 AS DECIMAL(5,2)) AS positive_rate, "
+            f"CAST(greatest(-{s}, 0) * 100 AS DECIMAL(5,2)) AS negative_rate, "
+            f"CAST(100 - abs({s}) * 100 AS DECIMAL(5,2)) AS neutral_rate")
+
+
+def label_loaded(s: str) -> str:
+    return f"CASE WHEN {s} > 0.1 THEN 'positive' WHEN {s} < -0.1 THEN 'negative' ELSE 'neutral' END"
+
+
+SENT_CTE = f"""{SCORES_CTE},
+sentiment_analysis AS (
+  SELECT doc_id AS id, doc_id AS corpus_id, {label_loaded('score')} AS sentiment,
+         CAST(score AS DECIMAL(3,2)) AS sentiment_score, {rates_sql('score')}
+  FROM scores WHERE doc_id IN (SELECT doc_id FROM labels))"""
+
+TITLES_CTE = "titles AS (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents)"
+
+
+def _micro(x: str) -> str:
+    s = f"CAST(sum({x}) * 100 AS HUGEINT)"
+    n = f"count({x})"
+    return f"(CASE WHEN {n} = 0 THEN NULL ELSE sign({s}) * ((abs({s}) * 20000 + {n}) // (2 * {n})) END)"
+
+
+def avg6(x: str) -> str:
+    """Spark's ``avg`` of a DECIMAL(p,2): exact half-up at 6 places, DECIMAL(p+4,6)."""
+    return f"CAST(CAST({_micro(x)} AS DOUBLE) / 1000000 AS DECIMAL(7,6))"
+
+
+def avg6_to2(x: str) -> str:
+    """That average stored into DECIMAL(3,2) (second half-up rounding)."""
+    m = _micro(x)
+    return f"CAST(CAST(sign({m}) * ((abs({m}) + 5000) // 10000) AS DOUBLE) / 100 AS DECIMAL(3,2))"
