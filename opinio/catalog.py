@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import duck as D
 from .operators import wordfreq as WF
@@ -286,3 +287,176 @@ FROM corpus c JOIN sentiment_analysis sa ON c.id = sa.corpus_id
 ORDER BY sa.sentiment_score ASC, c.id LIMIT 5""")
 def q_top_negative(spark, sf):
     return G.q_top_sentiment(S.corpus(spark, sf), MD.sentiment_table(spark, sf), 5, False)
+
+
+# ----------------------------------------------------------------------------------------
+# Keyword tables (S4, W8-W10, M6, K5, K6) and their verification (Q8-Q18)
+# ----------------------------------------------------------------------------------------
+
+from .operators import keywords as K  # noqa: E402
+
+# Fixed parameter: the IN-list of Q18, words that occur in the driver prose.
+EXAMPLE_KEYWORDS = ("de", "la", "que")
+
+
+@register("typed_frequency_sheet", f"""
+WITH {D.SHEET_CTE}
+SELECT keyword, count, freq, {D.heat_score('freq', 'count')} AS heat_score,
+       {D.keyword_weight('freq', 'count')} AS weight FROM sheet""")
+def q_typed_frequency_sheet(spark, sf):
+    return K.typed_sheet(MD.sheet(spark, sf))
+
+
+@register("heat_score", f"""
+WITH {D.HOT_CTE}
+SELECT keyword, source, count, heat_score, stat_date, create_time, update_time FROM hot_keywords""")
+def q_heat_score(spark, sf):
+    return MD.hot_keywords(spark, sf)
+
+
+@register("keyword_weight", f"""
+WITH {D.SHEET_CTE}
+SELECT keyword, count AS frequency, {D.keyword_weight('freq', 'count')} AS weight FROM sheet""")
+def q_keyword_weight(spark, sf):
+    return K.typed_sheet(MD.sheet(spark, sf)).select("keyword", F.col("count").alias("frequency"), "weight")
+
+
+@register("assign_keywords", f"""
+WITH {D.KEYWORDS_CTE}
+SELECT corpus_id, keyword, weight, frequency FROM keywords""")
+def q_assign_keywords(spark, sf):
+    return MD.keywords(spark, sf)
+
+
+_CONV_BODY = f"""body AS (SELECT conv_id * 1000 + turn AS doc_id, {D.ustrip('text')} AS body FROM conversations)"""
+_UPSERT_SQL = f"""
+WITH {D.top_words_cte(name='top')},
+new_sheet AS ({D.typed_sheet_sql('top')}),
+incoming AS (SELECT keyword, 'all' AS source, DATE '2024-12-31' AS stat_date, count,
+             {D.heat_score('freq', 'count')} AS heat_score, TIMESTAMP '2024-12-31 12:00:00' AS t FROM new_sheet),
+existing AS (
+  WITH {D.top_words_cte(_CONV_BODY, name='otop').replace('words AS', 'words AS', 1)}
+  SELECT trim(word) AS keyword, 'all' AS source, DATE '2024-12-31' AS stat_date,
+         TRY_CAST(trim(CAST(count AS VARCHAR)) AS INTEGER) AS count,
+         {D.heat_score('trim(percent)', 'count')} AS heat_score, TIMESTAMP '2024-12-31 00:00:00' AS t
+  FROM otop WHERE trim(word) NOT IN ('', 'nan'))
+SELECT coalesce(i.keyword, e.keyword) AS keyword, coalesce(i.source, e.source) AS source,
+       coalesce(i.stat_date, e.stat_date) AS stat_date,
+       CASE WHEN i.t IS NOT NULL THEN i.count ELSE e.count END AS count,
+       CASE WHEN i.t IS NOT NULL THEN i.heat_score ELSE e.heat_score END AS heat_score,
+       coalesce(e.t, i.t) AS create_time, CASE WHEN i.t IS NOT NULL THEN i.t ELSE e.t END AS update_time
+FROM existing e FULL OUTER JOIN incoming i
+  ON e.keyword = i.keyword AND e.source = i.source AND e.stat_date = i.stat_date"""
+
+
+@register("hot_keywords_upsert", _UPSERT_SQL)
+def q_hot_keywords_upsert(spark, sf):
+    from .operators import wordfreq as WF
+    existing = K.hot_keywords(K.sheet_from_top_words(WF.top_words(MD.conversation_bodies(spark, sf), 100)),
+                              MD.STAT_DATE, now=f"{MD.STAT_DATE} 00:00:00")
+    incoming = K.hot_keywords(MD.sheet(spark, sf), MD.STAT_DATE, now=f"{MD.STAT_DATE} 12:00:00")
+    return K.upsert_hot_keywords(existing, incoming)
+
+
+@register("rejects", f"""
+WITH {D.BODY_CTE}, {D.WORDS_CTE},
+counts AS (SELECT word, count(*) AS count FROM words GROUP BY word),
+tot AS (SELECT CAST(sum(count) AS BIGINT) AS total_words FROM counts),
+sheet AS (SELECT word AS keyword, CAST(count AS VARCHAR) AS count, {D.percent_text('count', 'total_words')} AS freq
+          FROM counts, tot),
+r AS (SELECT keyword, count, freq,
+        CASE WHEN trim(keyword) IS NULL OR trim(keyword) IN ('', 'nan') THEN 'blank keyword'
+             WHEN length(trim(keyword)) > 100 THEN 'keyword too long'
+             WHEN TRY_CAST(trim(count) AS INTEGER) IS NULL THEN 'count not an integer'
+             WHEN {D.heat_score('trim(freq)', 'TRY_CAST(trim(count) AS INTEGER)')} IS NULL THEN 'heat not a DECIMAL(5,2)'
+             WHEN {D.keyword_weight('trim(freq)', 'TRY_CAST(trim(count) AS INTEGER)')} IS NULL THEN 'weight not a DECIMAL(5,2)'
+        END AS reason FROM sheet)
+SELECT * FROM r WHERE reason IS NOT NULL""")
+def q_rejects(spark, sf):
+    from .operators import wordfreq as WF
+    full = WF.frequency_table(S.bodies(spark, sf)).select(
+        F.col("word").alias("keyword"), F.col("count").cast("string").alias("count"), F.col("percent").alias("freq"))
+    return K.rejects(full)
+
+
+@register("q_hot_count", f"WITH {D.HOT_CTE} SELECT count(*) AS n FROM hot_keywords")
+def q_hot_count(spark, sf):
+    return G.q_count(MD.hot_keywords(spark, sf))
+
+
+@register("q_hot_distinct", f"WITH {D.HOT_CTE} SELECT count(DISTINCT keyword) AS n FROM hot_keywords")
+def q_hot_distinct(spark, sf):
+    return G.q_distinct(MD.hot_keywords(spark, sf), "keyword", "n")
+
+
+@register("q_hot_by_source", f"""
+WITH {D.HOT_CTE}
+SELECT source, count(*) AS keyword_count, {D.avg6('heat_score', 9)} AS avg_heat_score
+FROM hot_keywords GROUP BY source""")
+def q_hot_by_source(spark, sf):
+    return G.q_hot_by_source(MD.hot_keywords(spark, sf))
+
+
+@register("q_hot_top15", f"""
+WITH {D.HOT_CTE}
+SELECT keyword, source, count, heat_score, stat_date FROM hot_keywords
+ORDER BY heat_score DESC, keyword, source LIMIT 15""")
+def q_hot_top15(spark, sf):
+    return G.q_hot_top(MD.hot_keywords(spark, sf), 15)
+
+
+@register("q_hot_dates", f"WITH {D.HOT_CTE} SELECT DISTINCT stat_date FROM hot_keywords")
+def q_hot_dates(spark, sf):
+    return G.q_hot_dates(MD.hot_keywords(spark, sf))
+
+
+@register("q_heat_bands", f"""
+WITH {D.HOT_CTE}
+SELECT CASE WHEN heat_score >= 50 THEN '高热度 (>=50)' WHEN heat_score >= 10 THEN '中热度 (10-50)'
+            WHEN heat_score >= 1 THEN '低热度 (1-10)' ELSE '极低热度 (<1)' END AS heat_level,
+       count(*) AS keyword_count, min(heat_score) AS min_heat
+FROM hot_keywords GROUP BY 1""")
+def q_heat_bands(spark, sf):
+    return G.q_heat_bands(MD.hot_keywords(spark, sf))
+
+
+@register("q_keyword_totals", f"""
+WITH {D.KEYWORDS_CTE}
+SELECT count(*) AS keyword_rows, count(DISTINCT keyword) AS distinct_keywords,
+       count(DISTINCT corpus_id) AS distinct_articles FROM keywords""")
+def q_keyword_totals(spark, sf):
+    return G.q_keyword_totals(MD.keywords(spark, sf))
+
+
+@register("q_keyword_top10", f"""
+WITH {D.KEYWORDS_CTE}
+SELECT keyword, count(*) AS article_count, avg(frequency) AS avg_frequency, {D.avg6('weight', 9)} AS avg_weight
+FROM keywords GROUP BY keyword ORDER BY avg_weight DESC, keyword LIMIT 10""")
+def q_keyword_top10(spark, sf):
+    return G.q_keyword_top(MD.keywords(spark, sf), 10)
+
+
+@register("q_keywords_per_article", f"""
+WITH {D.KEYWORDS_CTE}
+SELECT keyword_count, count(*) AS article_count
+FROM (SELECT corpus_id, count(*) AS keyword_count FROM keywords GROUP BY corpus_id) GROUP BY keyword_count""")
+def q_keywords_per_article(spark, sf):
+    return G.q_keywords_per_article(MD.keywords(spark, sf))
+
+
+@register("q_keywords_by_source", f"""
+WITH {D.KEYWORDS_CTE}, {D.CORPUS_CTE}
+SELECT c.source, count(*) AS keyword_count, count(DISTINCT k.keyword) AS unique_keywords
+FROM keywords k JOIN corpus c ON k.corpus_id = c.id GROUP BY c.source""")
+def q_keywords_by_source(spark, sf):
+    return G.q_keywords_by_source(MD.keywords(spark, sf), S.corpus(spark, sf))
+
+
+@register("q_keyword_examples", f"""
+WITH {D.KEYWORDS_CTE}, {D.CORPUS_CTE}
+SELECT k.corpus_id, c.title, k.keyword, k.weight, k.frequency
+FROM keywords k JOIN corpus c ON k.corpus_id = c.id
+WHERE k.keyword IN {tuple(EXAMPLE_KEYWORDS)}
+ORDER BY k.weight DESC, k.frequency DESC, k.corpus_id, k.keyword LIMIT 10""")
+def q_keyword_examples(spark, sf):
+    return G.q_keyword_examples(MD.keywords(spark, sf), S.corpus(spark, sf), EXAMPLE_KEYWORDS, 10)

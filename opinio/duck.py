@@ -110,12 +110,53 @@ def _micro(x: str) -> str:
     return f"(CASE WHEN {n} = 0 THEN NULL ELSE sign({s}) * ((abs({s}) * 20000 + {n}) // (2 * {n})) END)"
 
 
-def avg6(x: str) -> str:
-    """Spark's ``avg`` of a DECIMAL(p,2): exact half-up at 6 places, DECIMAL(p+4,6)."""
-    return f"CAST(CAST({_micro(x)} AS DOUBLE) / 1000000 AS DECIMAL(7,6))"
+def avg6(x: str, p: int = 7) -> str:
+    """Spark's ``avg`` of a DECIMAL(p-4,2): exact half-up at 6 places, DECIMAL(p,6)."""
+    return f"CAST(CAST({_micro(x)} AS DOUBLE) / 1000000 AS DECIMAL({p},6))"
 
 
 def avg6_to2(x: str) -> str:
     """That average stored into DECIMAL(3,2) (second half-up rounding)."""
     m = _micro(x)
     return f"CAST(CAST(sign({m}) * ((abs({m}) + 5000) // 10000) AS DOUBLE) / 100 AS DECIMAL(3,2))"
+
+
+def sheet_number(x: str) -> str:
+    return f"TRY_CAST(replace({x}, '%', '') AS DECIMAL(20,10))"
+
+
+def heat_score(freq: str, cnt: str) -> str:
+    return (f"TRY_CAST(CASE WHEN instr({freq}, '%') > 0 THEN {sheet_number(freq)} "
+            f"ELSE CAST({cnt} AS DECIMAL(20,10)) END AS DECIMAL(5,2))")
+
+
+def keyword_weight(freq: str, cnt: str) -> str:
+    return (f"TRY_CAST(CASE WHEN instr({freq}, '%') > 0 THEN {sheet_number(freq)} * 0.01 "
+            f"ELSE CAST({cnt} AS DECIMAL(20,10)) * 0.001 END AS DECIMAL(5,2))")
+
+
+def top_words_cte(body_cte: str = BODY_CTE, name: str = "top", n: int = 100) -> str:
+    """The top-``n`` words (rank, word, count, percent) as a CTE named ``name``."""
+    return f"""{body_cte}, {WORDS_CTE},
+counts AS (SELECT word, count(*) AS count FROM words GROUP BY word),
+tot AS (SELECT CAST(sum(count) AS BIGINT) AS total_words FROM counts),
+{name} AS (SELECT word, count, {percent_text('count', 'total_words')} AS percent
+        FROM counts, tot ORDER BY count DESC, word LIMIT {n})"""
+
+
+def typed_sheet_sql(top: str = "top") -> str:
+    return (f"SELECT trim(word) AS keyword, TRY_CAST(trim(CAST(count AS VARCHAR)) AS INTEGER) AS count, "
+            f"trim(percent) AS freq FROM {top} WHERE trim(word) NOT IN ('', 'nan')")
+
+
+SHEET_CTE = f"""{top_words_cte()},
+sheet AS ({typed_sheet_sql()})"""
+
+HOT_CTE = f"""{SHEET_CTE},
+hot_keywords AS (SELECT keyword, 'all' AS source, count, {heat_score('freq', 'count')} AS heat_score,
+        DATE '2024-12-31' AS stat_date, TIMESTAMP '2024-12-31 00:00:00' AS create_time,
+        TIMESTAMP '2024-12-31 00:00:00' AS update_time FROM sheet)"""
+
+KEYWORDS_CTE = f"""{SHEET_CTE},
+keywords AS (SELECT d.doc_id AS corpus_id, s.keyword, {keyword_weight('s.freq', 's.count')} AS weight,
+        s.count AS frequency FROM documents d, sheet s)"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ def heat_score(freq_text: Column, count: Column) -> Column:
 
 def keyword_weight(freq_text: Column, count: Column) -> Column:
     """Percent / 100 if the cell has a '%', else count / 1000; stored as DECIMAL(5,2)."""
-    raw = F.when(F.instr(freq_text, "%") > 0, sheet_number(freq_text) / 100) \
-        .otherwise(count.cast("decimal(20,10)") / 1000)
+    # Multiply by exact decimal constants (no division), so every engine rounds the same value.
+    raw = F.when(F.instr(freq_text, "%") > 0, sheet_number(freq_text) * F.lit(Decimal("0.01"))) \
+        .otherwise(count.cast("decimal(20,10)") * F.lit(Decimal("0.001")))
     return raw.try_cast("decimal(5,2)")

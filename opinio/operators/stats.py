@@ -92,3 +92,78 @@ def q_top_sentiment(corpus: DataFrame, sentiment: DataFrame, n: int = 5, descend
     key = F.col("sentiment_score").desc() if descending else F.col("sentiment_score").asc()
     return j.orderBy(key, F.col("id").asc()).limit(n).select("id", "title", "source", "sentiment",
                                                              "sentiment_score")
+
+
+# ------------------------------- Q8-Q13: hot keywords ----------------------------------
+
+# Heat bands of the verification report (lower bound, label).
+HEAT_BANDS = ((50, "高热度 (>=50)"), (10, "中热度 (10-50)"), (1, "低热度 (1-10)"))
+LOWEST_BAND = "极低热度 (<1)"
+
+
+def q_distinct(df: DataFrame, col: str, name: str) -> DataFrame:
+    return df.agg(F.count_distinct(col).alias(name))
+
+
+def q_hot_by_source(hot: DataFrame) -> DataFrame:
+    return hot.groupBy("source").agg(F.count(F.lit(1)).alias("keyword_count"),
+                                     F.avg("heat_score").alias("avg_heat_score"))
+
+
+def q_hot_top(hot: DataFrame, n: int = 15) -> DataFrame:
+    return (hot.orderBy(F.col("heat_score").desc(), F.col("keyword").asc(), F.col("source").asc())
+            .limit(n).select("keyword", "source", "count", "heat_score", "stat_date"))
+
+
+def q_hot_dates(hot: DataFrame) -> DataFrame:
+    return hot.select("stat_date").distinct().orderBy(F.col("stat_date").desc())
+
+
+def heat_band(h):
+    out = None
+    for lo, name in HEAT_BANDS:
+        out = F.when(h >= lo, name) if out is None else out.when(h >= lo, name)
+    return out.otherwise(LOWEST_BAND)
+
+
+def q_heat_bands(hot: DataFrame) -> DataFrame:
+    """Q13: keywords per heat band, ordered by the band's minimum heat (descending)."""
+    return (hot.groupBy(heat_band(F.col("heat_score")).alias("heat_level"))
+            .agg(F.count(F.lit(1)).alias("keyword_count"), F.min("heat_score").alias("min_heat"))
+            .orderBy(F.col("min_heat").desc()))
+
+
+# ------------------------------- Q14-Q18: article keywords -----------------------------
+
+def q_keyword_totals(kw: DataFrame) -> DataFrame:
+    return kw.agg(F.count(F.lit(1)).alias("keyword_rows"),
+                  F.count_distinct("keyword").alias("distinct_keywords"),
+                  F.count_distinct("corpus_id").alias("distinct_articles"))
+
+
+def q_keyword_top(kw: DataFrame, n: int = 10) -> DataFrame:
+    g = kw.groupBy("keyword").agg(F.count(F.lit(1)).alias("article_count"),
+                                  F.avg("frequency").alias("avg_frequency"),
+                                  F.avg("weight").alias("avg_weight"))
+    return g.orderBy(F.col("avg_weight").desc(), F.col("keyword").asc()).limit(n)
+
+
+def q_keywords_per_article(kw: DataFrame) -> DataFrame:
+    """Q16: histogram of keywords per article (an aggregate of an aggregate)."""
+    per = kw.groupBy("corpus_id").agg(F.count(F.lit(1)).alias("keyword_count"))
+    return per.groupBy("keyword_count").agg(F.count(F.lit(1)).alias("article_count")).orderBy("keyword_count")
+
+
+def q_keywords_by_source(kw: DataFrame, corpus: DataFrame) -> DataFrame:
+    j = kw.join(corpus.select(F.col("id").alias("corpus_id"), "source"), "corpus_id")
+    return j.groupBy("source").agg(F.count(F.lit(1)).alias("keyword_count"),
+                                   F.count_distinct("keyword").alias("unique_keywords"))
+
+
+def q_keyword_examples(kw: DataFrame, corpus: DataFrame, words, n: int = 10) -> DataFrame:
+    """Q18 (+F10): example rows for an IN-list of keywords; ties by article id and keyword."""
+    k = kw.where(F.col("keyword").isin(list(words)))
+    j = k.join(corpus.select(F.col("id").alias("corpus_id"), "title"), "corpus_id")
+    return (j.orderBy(F.col("weight").desc(), F.col("frequency").desc(), F.col("corpus_id").asc(),
+                      F.col("keyword").asc())
+            .limit(n).select("corpus_id", "title", "keyword", "weight", "frequency"))

@@ -34,3 +34,27 @@ def sentiment_table(spark: SparkSession, sf: str) -> DataFrame:
 def titles(spark: SparkSession, sf: str) -> DataFrame:
     d = S.read_table(spark, sf, "documents")
     return d.select("doc_id", F.substring_index(F.col("text"), "\n", 1).alias("title"))
+
+
+def sheet(spark: SparkSession, sf: str, n: int = 100) -> DataFrame:
+    """The frequency sheet (top ``n`` words of the corpus bodies) as text cells."""
+    from ..operators import keywords as K
+    from ..operators import wordfreq as WF
+    return K.sheet_from_top_words(WF.top_words(S.bodies(spark, sf), n))
+
+
+def hot_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import keywords as K
+    return K.hot_keywords(sheet(spark, sf), STAT_DATE)
+
+
+def keywords(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import keywords as K
+    return K.assign_keywords(S.corpus_ids(spark, sf), sheet(spark, sf))
+
+
+def conversation_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """A second text source: conversation turns as ``(doc_id, body)`` (doc_id = conv·1000+turn)."""
+    from ..functions import text as T
+    c = S.read_table(spark, sf, "conversations")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), T.ustrip(F.col("text")).alias("body"))
