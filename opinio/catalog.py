@@ -460,3 +460,58 @@ WHERE k.keyword IN {tuple(EXAMPLE_KEYWORDS)}
 ORDER BY k.weight DESC, k.frequency DESC, k.corpus_id, k.keyword LIMIT 10""")
 def q_keyword_examples(spark, sf):
     return G.q_keyword_examples(MD.keywords(spark, sf), S.corpus(spark, sf), EXAMPLE_KEYWORDS, 10)
+
+
+# ----------------------------------------------------------------------------------------
+# Report parsing and title matching
+# ----------------------------------------------------------------------------------------
+
+from .operators import matching as M  # noqa: E402
+
+
+@register("parse_ranked_report", f"WITH {D.REPORT_CTE} SELECT seq, title, score FROM report")
+def q_parse_ranked_report(spark, sf):
+    return MD.report(spark, sf)
+
+
+@register("dedupe_last", f"WITH {D.REPORT_CTE} SELECT title, score, seq FROM dedup")
+def q_dedupe_last(spark, sf):
+    return MD.report_dedup(spark, sf)
+
+
+@register("match_exact", f"""
+WITH {D.REPORT_CTE}, {D.ARTICLES_CTE}
+SELECT a.a_title, a.a_id, d.seq AS r_seq, d.score FROM articles a LEFT JOIN dedup d ON a.a_title = d.title""")
+def q_match_exact(spark, sf):
+    return M.match_exact(MD.articles(spark, sf), MD.report_dedup(spark, sf))
+
+
+@register("match_fuzzy", f"""
+WITH {D.REPORT_CTE}, {D.ARTICLES_CTE}, {D.FUZZY_CTE}
+SELECT a_id, r_seq FROM fuzzy""")
+def q_match_fuzzy(spark, sf):
+    return M.match_fuzzy(MD.articles(spark, sf), MD.report_dedup(spark, sf))
+
+
+@register("match_containment", f"""
+WITH {D.REPORT_CTE}, {D.ARTICLES_CTE}
+SELECT a_id, seq AS r_seq FROM articles, dedup
+WHERE contains(lower(dedup.title), lower(articles.a_title)) OR contains(lower(articles.a_title), lower(dedup.title))""")
+def q_match_containment(spark, sf):
+    return M.match_containment(MD.articles(spark, sf), MD.report_dedup(spark, sf))
+
+
+@register("match_best", f"""
+WITH {D.REPORT_CTE}, {D.ARTICLES_CTE}, {D.BEST_CTE}
+SELECT best.a_id, best.r_seq, CASE WHEN p = 0 THEN 'exact' ELSE 'fuzzy' END AS how, d.title AS r_title, d.score
+FROM best JOIN dedup d ON best.r_seq = d.seq""")
+def q_match_best(spark, sf):
+    return M.match_best(MD.articles(spark, sf), MD.report_dedup(spark, sf))
+
+
+@register("unmatched_articles", f"""
+WITH {D.REPORT_CTE}, {D.ARTICLES_CTE}, {D.BEST_CTE}
+SELECT a_id, a_title FROM articles WHERE a_id NOT IN (SELECT a_id FROM best)""")
+def q_unmatched_articles(spark, sf):
+    arts = MD.articles(spark, sf)
+    return M.unmatched(arts, M.match_best(arts, MD.report_dedup(spark, sf)))

@@ -160,3 +160,58 @@ hot_keywords AS (SELECT keyword, 'all' AS source, count, {heat_score('freq', 'co
 KEYWORDS_CTE = f"""{SHEET_CTE},
 keywords AS (SELECT d.doc_id AS corpus_id, s.keyword, {keyword_weight('s.freq', 's.count')} AS weight,
         s.count AS frequency FROM documents d, sheet s)"""
+
+
+def article_filename(url: str, title: str, ext: str = ".txt") -> str:
+    cleaned = ustrip(f"regexp_replace({title}, {q(chr(91) + chr(92) * 2 + '/*?:\"<>|' + chr(93))}, '', 'g')")
+    return (f"(CASE WHEN {title} IS NULL OR {title} = '' OR {cleaned} = '' THEN md5({url}) "
+            f"ELSE substr({cleaned}, 1, 100) END || '{ext}')")
+
+
+ARTICLES_CTE = f"""articles AS (
+  SELECT doc_id AS a_id,
+         replace({article_filename("'https://news.example.org/articles/' || CAST(doc_id AS VARCHAR)", 'split_part(text, chr(10), 1)')}, '.txt', '') AS a_title
+  FROM documents)"""
+
+
+def _report_entry_pattern() -> str:
+    from .sources.reports import ENTRY_PATTERN
+    return ENTRY_PATTERN
+
+
+REPORT_CTE = f"""{SCORES_CTE}, {TITLES_CTE},
+rl AS (SELECT CASE label WHEN 'positive' THEN 1 WHEN 'negative' THEN 2 ELSE 3 END AS section,
+              row_number() OVER (PARTITION BY label ORDER BY CASE WHEN label = 'positive' THEN -compound
+                   WHEN label = 'negative' THEN compound ELSE abs(compound) END, title, doc_id) AS rank,
+              title, score
+       FROM scores JOIN titles USING (doc_id) WHERE doc_id IN (SELECT doc_id FROM labels)),
+lines AS (SELECT section * 10000000000 + rank AS seq,
+                 CAST(rank AS VARCHAR) || '. ' || title || ' (得分: ' || CAST(score AS VARCHAR) || ')' AS value FROM rl),
+report AS (SELECT seq, {ustrip(f"regexp_extract(value, {q(_report_entry_pattern())}, 1)")} AS title,
+                  TRY_CAST(regexp_extract(value, {q(_report_entry_pattern())}, 2) AS DECIMAL(4,3)) AS score
+           FROM lines WHERE regexp_matches(value, {q(_report_entry_pattern())})),
+dedup AS (SELECT title, arg_max(score, seq) AS score, min(seq) AS seq FROM report GROUP BY title)"""
+
+
+def norm_title(x: str) -> str:
+    from .operators.matching import NORM_DROP
+    return f"regexp_replace(lower({x}), {q(NORM_DROP)}, '', 'g')"
+
+
+def title_words(n: str) -> str:
+    return f"list_distinct(list_filter(regexp_split_to_array({n}, {q(WS + '+')}), lambda x: x <> ''))"
+
+
+FUZZY_CTE = f"""an AS (SELECT a_id, {norm_title('a_title')} AS n FROM articles),
+rn AS (SELECT seq AS r_id, {norm_title('title')} AS n FROM dedup),
+anw AS (SELECT a_id, n, {title_words('n')} AS w FROM an),
+rnw AS (SELECT r_id, n, {title_words('n')} AS w FROM rn),
+fuzzy AS (SELECT a_id, r_id AS r_seq FROM anw, rnw
+          WHERE contains(rnw.n, anw.n) OR contains(anw.n, rnw.n) OR len(list_intersect(anw.w, rnw.w)) >= 3)"""
+
+BEST_CTE = f"""{FUZZY_CTE},
+u AS (SELECT a.a_id, d.seq AS r_seq, 0 AS prio FROM articles a JOIN dedup d ON a.a_title = d.title
+      UNION ALL SELECT a_id, r_seq, 1 AS prio FROM fuzzy),
+bp AS (SELECT a_id, min(prio) AS p FROM u GROUP BY a_id),
+best AS (SELECT u.a_id, min(u.r_seq) AS r_seq, min(bp.p) AS p FROM u JOIN bp ON u.a_id = bp.a_id AND u.prio = bp.p
+         GROUP BY u.a_id)"""

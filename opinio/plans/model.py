@@ -58,3 +58,43 @@ def conversation_bodies(spark: SparkSession, sf: str) -> DataFrame:
     from ..functions import text as T
     c = S.read_table(spark, sf, "conversations")
     return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), T.ustrip(F.col("text")).alias("body"))
+
+
+# ------------------------------ articles and the report --------------------------------
+
+# Adapter value: documents carry no URL; this prefix plus doc_id stands in for one.
+ARTICLE_URL_PREFIX = "https://news.example.org/articles/"
+REPORT_SECTION_STRIDE = 10_000_000_000  # seq = section · stride + rank (report line order)
+
+
+def article_url(doc_id):
+    return F.concat(F.lit(ARTICLE_URL_PREFIX), doc_id.cast("string"))
+
+
+def articles(spark: SparkSession, sf: str) -> DataFrame:
+    """Loaded articles: ``(a_id, a_title)``; the title is the saved file name minus ``.txt``
+    (header title cleaned and cut to 100 characters), as the loader sees it."""
+    from ..functions import urls as U
+    d = S.read_table(spark, sf, "documents")
+    header = F.substring_index(F.col("text"), "\n", 1)
+    return d.select(F.col("doc_id").alias("a_id"),
+                    U.loader_title(U.article_filename(article_url(F.col("doc_id")), header)).alias("a_title"))
+
+
+def report_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranked report over the labelled (loaded) documents as ``(seq, value)`` lines."""
+    sc = scores(spark, sf).join(S.labelled_ids(spark, sf).withColumnRenamed("corpus_id", "doc_id"), "doc_id",
+                                "left_semi")
+    lines = V.ranked_report_lines(sc, titles(spark, sf))
+    return lines.select((F.col("section") * REPORT_SECTION_STRIDE + F.col("rank")).alias("seq"),
+                        F.col("line").alias("value"))
+
+
+def report(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources.reports import parse_ranked_report
+    return parse_ranked_report(report_lines(spark, sf))
+
+
+def report_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.matching import dedupe_last
+    return dedupe_last(report(spark, sf))
