@@ -515,3 +515,60 @@ SELECT a_id, a_title FROM articles WHERE a_id NOT IN (SELECT a_id FROM best)""")
 def q_unmatched_articles(spark, sf):
     arts = MD.articles(spark, sf)
     return M.unmatched(arts, M.match_best(arts, MD.report_dedup(spark, sf)))
+
+
+# ----------------------------------------------------------------------------------------
+# Article files: render (K11, C11) and read back (F1-F8, F13), scoring variant
+# ----------------------------------------------------------------------------------------
+
+from .functions import text as TX  # noqa: E402
+
+
+@register("render_article", f"WITH {D.RENDERED_CTE} SELECT doc_id, file_name, article FROM rendered")
+def q_render_article(spark, sf):
+    return MD.rendered(spark, sf).select("doc_id", "file_name", "article")
+
+
+@register("extract_body", f"WITH {D.RENDERED_CTE} SELECT doc_id, {D.body_strict('article')} AS body FROM rendered")
+def q_extract_body(spark, sf):
+    return MD.rendered(spark, sf).select("doc_id", TX.body_strict(F.col("article")).alias("body"))
+
+
+@register("extract_body_fallback", f"SELECT doc_id, {D.body_fallback('text')} AS body FROM documents")
+def q_extract_body_fallback(spark, sf):
+    d = S.read_table(spark, sf, "documents")
+    return d.select("doc_id", TX.body_fallback(F.col("text")).alias("body"))
+
+
+@register("header_title", f"""WITH {D.RENDERED_CTE}
+SELECT doc_id, CASE WHEN instr(article, '标题: ') > 0 THEN regexp_extract(article, '标题: ([^' || chr(10) || ']*)', 1)
+                    ELSE file_name END AS title FROM rendered""")
+def q_header_title(spark, sf):
+    r = MD.rendered(spark, sf)
+    return r.select("doc_id", TX.header_title(F.col("article"), F.col("file_name")).alias("title"))
+
+
+@register("publish_date", f"WITH {D.RENDERED_CTE} SELECT doc_id, {D.publish_date('article')} AS publish_date FROM rendered")
+def q_publish_date(spark, sf):
+    return MD.rendered(spark, sf).select("doc_id", TX.publish_date(F.col("article")).alias("publish_date"))
+
+
+@register("title_preview", "SELECT doc_id AS id, substr(text, 1, 100) || '...' AS preview FROM documents")
+def q_title_preview(spark, sf):
+    return S.corpus(spark, sf).select("id", TX.preview(F.col("content"), 100).alias("preview"))
+
+
+_DETAILS_BODY = f"""{D.RENDERED_CTE},
+body AS (SELECT doc_id, CASE WHEN instr(article, '正文内容:') > 0 THEN {D.body_loose('article')} ELSE article END AS body
+         FROM rendered WHERE {D.word_count_ws(f"CASE WHEN instr(article, '正文内容:') > 0 THEN {D.body_loose('article')} ELSE article END")} >= 10)"""
+
+
+@register("sentiment_details", f"""
+WITH {D.scores_cte(_DETAILS_BODY)}
+SELECT r.doc_id, r.file_name, s.label AS sentiment, s.score FROM scores s JOIN rendered r USING (doc_id)""")
+def q_sentiment_details(spark, sf):
+    r = MD.rendered(spark, sf)
+    art = F.col("article")
+    body = F.when(TX.has_body_marker(art), TX.body_loose(art)).otherwise(art)
+    docs = V.min_words(r.select("doc_id", body.alias("body")), 10).select("doc_id", "body")
+    return V.details(V.scored(docs, MD.lexicon(spark)), r.select("doc_id", "file_name"))

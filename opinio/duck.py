@@ -68,8 +68,9 @@ def _lex_values() -> str:
     return fixture_values_sql()
 
 
-# Scores: V1 over every document body with the fixture lexicon, then V3 / V9.
-SCORES_CTE = f"""{BODY_CTE},
+def scores_cte(body_cte: str) -> str:
+    """V1 + V3 + V9 over the ``body`` CTE given (doc_id, body) with the fixture lexicon."""
+    return f"""{body_cte},
 tk AS (SELECT doc_id, {tokens('body')} AS t FROM body),
 toks AS (SELECT doc_id, unnest(CASE WHEN len(t) = 0 THEN [NULL::VARCHAR] ELSE t END) AS token FROM tk),
 lex AS (SELECT * FROM {_lex_values()}),
@@ -84,6 +85,10 @@ scores AS (SELECT doc_id, compound, CAST(compound AS DECIMAL(4,3)) AS score,
            FROM lscores)"""
 
 
+# Scores: V1 over every document body with the fixture lexicon, then V3 / V9.
+SCORES_CTE = scores_cte(BODY_CTE)
+
+
 def rates_sql(s: str) -> str:
     return (f"CAST(abs({s}) * 100 AS DECIMAL(5,2)) AS confidence, "
             f"CAST(greatest({s}, 0) * 100 AS DECIMAL(5,2)) AS positive_rate, "
@@ -168,9 +173,12 @@ def article_filename(url: str, title: str, ext: str = ".txt") -> str:
             f"ELSE substr({cleaned}, 1, 100) END || '{ext}')")
 
 
+ARTICLE_URL = ("('https://news.example.org/articles/2024-' || CAST(doc_id % 12 + 1 AS VARCHAR) || '-' || "
+               "CAST(doc_id % 31 + 1 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR))")
+
 ARTICLES_CTE = f"""articles AS (
   SELECT doc_id AS a_id,
-         replace({article_filename("'https://news.example.org/articles/' || CAST(doc_id AS VARCHAR)", 'split_part(text, chr(10), 1)')}, '.txt', '') AS a_title
+         replace({article_filename(ARTICLE_URL, 'split_part(text, chr(10), 1)')}, '.txt', '') AS a_title
   FROM documents)"""
 
 
@@ -215,3 +223,42 @@ u AS (SELECT a.a_id, d.seq AS r_seq, 0 AS prio FROM articles a JOIN dedup d ON a
 bp AS (SELECT a_id, min(prio) AS p FROM u GROUP BY a_id),
 best AS (SELECT u.a_id, min(u.r_seq) AS r_seq, min(bp.p) AS p FROM u JOIN bp ON u.a_id = bp.a_id AND u.prio = bp.p
          GROUP BY u.a_id)"""
+
+
+def paragraphs_of(text: str) -> str:
+    return (f"list_filter(list_transform(list_slice(string_split({text}, chr(10)), 2, len(string_split({text}, chr(10)))), "
+            f"lambda x: {ustrip('x')}), lambda x: x <> '')")
+
+
+RENDERED_CTE = f"""rendered AS (
+  SELECT doc_id, {article_filename(ARTICLE_URL, 'split_part(text, chr(10), 1)')} AS file_name, text,
+         '标题: ' || coalesce(split_part(text, chr(10), 1), 'None') || chr(10) || '网址: ' || {ARTICLE_URL}
+         || chr(10) || chr(10) || '正文内容:' || chr(10) || array_to_string({paragraphs_of('text')}, chr(10) || chr(10))
+         AS article
+  FROM documents)"""
+
+
+def body_fallback(c: str) -> str:
+    from .functions.text import END_MARKERS
+    rest = f"regexp_extract({c}, {q('^[^' + chr(10) + ']*' + chr(10) + '[^' + chr(10) + ']*' + chr(10) + '((?s:.*))')}, 1)"
+    cases = " ".join(f"WHEN instr({rest}, {q(m)}) > 1 THEN left({rest}, instr({rest}, {q(m)}) - 1)" for m in END_MARKERS)
+    cut = f"CASE {cases} ELSE {rest} END"
+    return (f"CASE WHEN regexp_matches({c}, {q('^[^' + chr(10) + ']*' + chr(10) + '[^' + chr(10) + ']*' + chr(10))}) "
+            f"THEN {ustrip(cut)} ELSE '' END")
+
+
+def body_strict(c: str) -> str:
+    return (f"CASE WHEN instr({c}, '正文内容:' || chr(10)) > 0 THEN {ustrip(f'regexp_extract({c}, {q(T.BODY_STRICT_PATTERN)}, 1)')} "
+            f"ELSE {body_fallback(c)} END")
+
+
+def body_loose(c: str) -> str:
+    return ustrip(f"regexp_extract({c}, {q(T.BODY_LOOSE_PATTERN)}, 1)")
+
+
+def publish_date(c: str) -> str:
+    pat = "([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})"
+    head = f"substr({c}, 1, 500)"
+    y, m, d = (f"regexp_extract({head}, {q(pat)}, {i})" for i in (1, 2, 3))
+    return (f"coalesce(CASE WHEN {y} <> '' AND CAST({y} AS INTEGER) >= 1 THEN TRY_CAST({y} || '-' || {m} || '-' || {d} AS DATE) END, "
+            f"DATE '2024-01-01')")

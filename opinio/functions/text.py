@@ -94,11 +94,14 @@ def is_stop_word(w: Column, stop_words=STOP_WORDS) -> Column:
 
 # --------------------------------- body extraction ------------------------------------
 
+BODY_STRICT_PATTERN = "(?s)" + BODY_MARKER + "\n(.*?)(?:\n\n" + IMAGE_LIST_MARKER + "|\\z)"
+BODY_LOOSE_PATTERN = "(?s)" + BODY_MARKER + "(.*?)(?:" + IMAGE_LIST_MARKER + "|\\z)"
+
+
 def body_strict(content: Column) -> Column:
     """F1 + F2: body after the marker line up to the image list, else the fallback rule."""
-    pat = "(?s)" + BODY_MARKER + "\n(.*?)(?:\n\n" + IMAGE_LIST_MARKER + "|\\z)"
     return F.when(F.instr(content, BODY_MARKER + "\n") > 0,
-                  ustrip(F.regexp_extract(content, pat, 1))).otherwise(body_fallback(content))
+                  ustrip(F.regexp_extract(content, BODY_STRICT_PATTERN, 1))).otherwise(body_fallback(content))
 
 
 def body_fallback(content: Column) -> Column:
@@ -115,7 +118,7 @@ def body_fallback(content: Column) -> Column:
 
 def body_loose(content: Column) -> Column:
     """F3 / F4 pattern: marker then anything up to the image-list marker or the end (stripped)."""
-    return ustrip(F.regexp_extract(content, "(?s)" + BODY_MARKER + "(.*?)(?:" + IMAGE_LIST_MARKER + "|\\z)", 1))
+    return ustrip(F.regexp_extract(content, BODY_LOOSE_PATTERN, 1))
 
 
 def has_body_marker(content: Column) -> Column:

@@ -68,7 +68,10 @@ REPORT_SECTION_STRIDE = 10_000_000_000  # seq = section · stride + rank (report
 
 
 def article_url(doc_id):
-    return F.concat(F.lit(ARTICLE_URL_PREFIX), doc_id.cast("string"))
+    """Adapter URL with a date path ``2024-<m>-<d>`` (m, d from the id; some dates are invalid
+    on purpose, like real-world links, which exercises F8's fallback)."""
+    return F.concat(F.lit(ARTICLE_URL_PREFIX + "2024-"), (F.pmod(doc_id, F.lit(12)) + 1).cast("string"), F.lit("-"),
+                    (F.pmod(doc_id, F.lit(31)) + 1).cast("string"), F.lit("/"), doc_id.cast("string"))
 
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,3 +101,14 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
 def report_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.matching import dedupe_last
     return dedupe_last(report(spark, sf))
+
+
+def rendered(spark: SparkSession, sf: str) -> DataFrame:
+    """K11 round trip input: every document rendered as an article file ``(doc_id, file_name, text, article)``."""
+    from ..functions import urls as U
+    from ..sources.articles import paragraphs_of, render_article
+    d = S.read_table(spark, sf, "documents")
+    header = F.substring_index(F.col("text"), "\n", 1)
+    url = article_url(F.col("doc_id"))
+    return d.select("doc_id", U.article_filename(url, header).alias("file_name"), "text",
+                    render_article(header, url, paragraphs_of(F.col("text"))).alias("article"))
