@@ -572,3 +572,93 @@ def q_sentiment_details(spark, sf):
     body = F.when(TX.has_body_marker(art), TX.body_loose(art)).otherwise(art)
     docs = V.min_words(r.select("doc_id", body.alias("body")), 10).select("doc_id", "body")
     return V.details(V.scored(docs, MD.lexicon(spark)), r.select("doc_id", "file_name"))
+
+
+# ----------------------------------------------------------------------------------------
+# Page ingest over the landed pages table
+# ----------------------------------------------------------------------------------------
+
+from .operators import pages as P  # noqa: E402
+
+
+def _pages(spark, sf):
+    return S.read_table(spark, sf, "pages").select("page_id", "url", "html")
+
+
+@register("page_paragraphs", f"""
+WITH {D.pages_cte()}
+SELECT page_id, CAST(unnest(range(len(paragraphs))) AS INTEGER) AS pos, unnest(paragraphs) AS paragraph
+FROM parsed WHERE container IS NOT NULL""")
+def q_page_paragraphs(spark, sf):
+    return P.page_paragraphs(_pages(spark, sf))
+
+
+@register("page_title", f"WITH {D.pages_cte()} SELECT page_id, url, title FROM parsed")
+def q_page_title(spark, sf):
+    return P.page_titles(_pages(spark, sf))
+
+
+@register("page_body", f"""
+WITH {D.pages_cte()}
+SELECT page_id, CAST(len(paragraphs) AS INTEGER) AS n_paragraphs, array_to_string(paragraphs, chr(10) || chr(10)) AS body
+FROM parsed WHERE container IS NOT NULL AND len(paragraphs) > 0""")
+def q_page_body(spark, sf):
+    return P.page_body(_pages(spark, sf))
+
+
+@register("page_rejects", f"""
+WITH {D.pages_cte()}
+SELECT page_id, url, CASE WHEN container IS NULL THEN 'no body container' ELSE 'no text' END AS reason
+FROM parsed WHERE container IS NULL OR len(paragraphs) = 0""")
+def q_page_rejects(spark, sf):
+    return P.page_rejects(_pages(spark, sf))
+
+
+_LINKS_SQL = f"""
+WITH pc AS (SELECT page_id, url, regexp_replace(html, {D.q(__import__('opinio.functions.html', fromlist=['x']).NOISE)}, '', 'g') AS clean FROM pages),
+a AS (SELECT page_id, url, regexp_extract_all(clean, {D.q('(?s)<a' + chr(92) + 'b[^>]*href="[^"]*"[^>]*>.*?</a>')}, 0) AS anchors FROM pc),
+e AS (SELECT page_id, url, CAST(unnest(range(len(anchors))) AS INTEGER) AS pos, unnest(anchors) AS anc FROM a),
+f AS (SELECT page_id, url, pos, regexp_extract(anc, 'href="([^"]*)"', 1) AS href,
+             {D.text_of(f"regexp_extract(anc, {D.q('(?s)<a' + chr(92) + 'b[^>]*>(.*?)</a>')}, 1)")} AS txt FROM e)
+SELECT page_id, pos, {D.absolutize('href', D.base_of('url'))} AS link,
+       CASE WHEN txt <> '' THEN txt ELSE 'No Title' END AS title
+FROM f WHERE href <> ''"""
+
+
+@register("extract_links", _LINKS_SQL)
+def q_extract_links(spark, sf):
+    return P.extract_links(_pages(spark, sf))
+
+
+@register("article_filename", f"""
+WITH {D.pages_cte()}
+SELECT page_id, url, title, {D.article_filename('url', 'title')} AS file_name
+FROM parsed WHERE container IS NOT NULL AND len(paragraphs) > 0""")
+def q_article_filename(spark, sf):
+    return P.article_files(_pages(spark, sf))
+
+
+@register("media_counts")
+def q_media_counts(spark, sf):
+    return P.media_counts(_pages(spark, sf))
+
+
+@register("page_images")
+def q_page_images(spark, sf):
+    return P.page_images(_pages(spark, sf))
+
+
+@register("page_videos")
+def q_page_videos(spark, sf):
+    return P.page_videos(_pages(spark, sf))
+
+
+@register("untitled_names", f"""
+WITH {D.pages_cte()},
+u AS (SELECT page_id, url, row_number() OVER (ORDER BY page_id) AS n FROM parsed
+      WHERE title IS NULL AND container IS NOT NULL AND len(paragraphs) > 0)
+SELECT page_id, url, n, 'Untitled Article ' || CAST(n AS VARCHAR) AS title,
+       {D.article_filename('url', "'Untitled Article ' || CAST(n AS VARCHAR)")} AS file_name FROM u""")
+def q_untitled_names(spark, sf):
+    p = P.parse_pages(_pages(spark, sf)).where(F.col("container").isNotNull() & (F.size("paragraphs") > 0))
+    return P.untitled_names(p, [F.col("page_id").asc()])

@@ -262,3 +262,100 @@ def publish_date(c: str) -> str:
     y, m, d = (f"regexp_extract({head}, {q(pat)}, {i})" for i in (1, 2, 3))
     return (f"coalesce(CASE WHEN {y} <> '' AND CAST({y} AS INTEGER) >= 1 THEN TRY_CAST({y} || '-' || {m} || '-' || {d} AS DATE) END, "
             f"DATE '2024-01-01')")
+
+
+# ------------------------------------- pages -------------------------------------------
+
+def _h():
+    from .functions import html as H
+    return H
+
+
+def unescape(x: str) -> str:
+    for ent, ch in _h().ENTITIES:
+        x = f"replace({x}, {q(ent)}, {q(ch)})"
+    return x
+
+
+def text_of(x: str) -> str:
+    return ustrip(unescape(f"regexp_replace({x}, '<[^>]*>', '', 'g')"))
+
+
+def _cls_pat(tag: str, cls: str | None, inner: bool) -> str:
+    if cls is None:
+        return f"(?s)<{tag}\\b[^>]*>(.*?)</{tag}>" if inner else f"<{tag}\\b"
+    base = f"<{tag}\\b[^>]*class=\"(?:[^\"]*\\s)?{cls}(?:\\s[^\"]*)?\""
+    return "(?s)" + base + f"[^>]*>(.*?)</{tag}>" if inner else base
+
+
+def _elem(x: str, tag: str, cls: str | None) -> str:
+    return f"CASE WHEN regexp_matches({x}, {q(_cls_pat(tag, cls, False))}) THEN regexp_extract({x}, {q(_cls_pat(tag, cls, True))}, 1) END"
+
+
+def page_title(x: str) -> str:
+    H = _h()
+    cands = []
+    for tag in ("h1", "h2"):
+        for cls in H.H_CLASSES + (None,):
+            t = text_of(_elem(x, tag, cls))
+            cands.append(f"CASE WHEN {t} <> '' AND {t} <> {q(H.SITE_NAME)} THEN {t} END")
+
+    def meta(prop):
+        a = f"regexp_extract({x}, {q(f'<meta\\b[^>]*property=\"{prop}\"[^>]*content=\"([^\"]*)\"')}, 1)"
+        b = f"regexp_extract({x}, {q(f'<meta\\b[^>]*content=\"([^\"]*)\"[^>]*property=\"{prop}\"')}, 1)"
+        return f"(CASE WHEN {a} <> '' THEN {a} ELSE {b} END)"
+    og = ustrip(unescape(meta("og:title")))
+    cands.append(f"CASE WHEN {og} <> '' AND {og} <> {q(H.SITE_NAME)} THEN {og} END")
+    u = meta("og:url")
+    last = ustrip(f"replace(list_extract(string_split(regexp_replace({u}, '/+$', ''), '/'), -1), '-', ' ')")
+    cands.append(f"CASE WHEN {u} <> '' AND {last} <> '' THEN {last} END")
+    return "coalesce(" + ", ".join(cands) + ")"
+
+
+def body_container(x: str) -> str:
+    H = _h()
+    whens = [f"WHEN regexp_matches({x}, {q(_cls_pat('article', None, False))}) THEN regexp_extract({x}, {q(_cls_pat('article', None, True))}, 1)"]
+    for cls in H.BODY_DIV_CLASSES:
+        whens.append(f"WHEN regexp_matches({x}, {q(_cls_pat('div', cls, False))}) THEN regexp_extract({x}, {q(_cls_pat('div', cls, True))}, 1)")
+    return "CASE " + " ".join(whens) + " END"
+
+
+def paragraph_fragments(x: str) -> str:
+    parts = f"regexp_split_to_array({x}, {q('<p' + chr(92) + 'b[^>]*>')})"
+    return f"list_transform(list_slice({parts}, 2, len({parts})), lambda y: split_part(y, '</p>', 1))"
+
+
+def paragraphs(x: str) -> str:
+    H = _h()
+    excl = " OR ".join(f"instr(lower({x}), {q(h)}) > 0" for h in H.EXCLUDE_PARENT_HINTS)
+    ps = f"list_filter(list_transform({paragraph_fragments(x)}, lambda z: {text_of('z')}), lambda z: z <> '')"
+    ps = f"(CASE WHEN {excl} THEN []::VARCHAR[] ELSE {ps} END)"
+    whole = text_of(x)
+    return f"(CASE WHEN len({ps}) > 0 THEN {ps} WHEN {whole} <> '' THEN [{whole}] ELSE []::VARCHAR[] END)"
+
+
+def text_block_fragments(x: str) -> str:
+    H = _h()
+    hint = "|".join(H.TEXT_BLOCK_HINTS)
+    pat = f"(?s)<div\\b[^>]*class=\"[^\"]*(?:{hint})[^\"]*\"[^>]*>(.*?)</div>"
+    return f"flatten(list_transform(regexp_extract_all({x}, {q(pat)}, 1), lambda b: {paragraph_fragments('b')}))"
+
+
+def pages_cte() -> str:
+    H = _h()
+    return f"""pc AS (SELECT page_id, url, regexp_replace(html, {q(H.NOISE)}, '', 'g') AS clean FROM pages),
+pp AS (SELECT page_id, url, {page_title('clean')} AS title, {body_container('clean')} AS container,
+              {text_block_fragments('clean')} AS fb FROM pc),
+parsed AS (SELECT page_id, url, title,
+       CASE WHEN container IS NOT NULL OR len(fb) > 0 THEN coalesce(container, array_to_string(fb, '')) END AS container,
+       CASE WHEN container IS NOT NULL THEN {paragraphs('container')}
+            WHEN len(fb) > 0 THEN list_filter(list_transform(fb, lambda z: {text_of('z')}), lambda z: z <> '') END AS paragraphs
+       FROM pp)"""
+
+
+def absolutize(u: str, base: str) -> str:
+    return f"CASE WHEN starts_with({u}, '//') THEN 'https:' || {u} WHEN starts_with({u}, '/') THEN {base} || {u} ELSE {u} END"
+
+
+def base_of(u: str) -> str:
+    return f"regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)"

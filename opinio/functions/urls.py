@@ -18,10 +18,13 @@ VIDEO_EXT_RULES = ((("mp4",), ".mp4"), (("webm",), ".webm"))
 VIDEO_EXT_DEFAULT = ".mp4"
 
 
-def absolutize(url: Column, base: str = BASE_URL) -> Column:
-    """``//host/x`` → ``https://host/x``; ``/x`` → base + ``/x``; anything else unchanged."""
+def absolutize(url: Column, base: str | Column = BASE_URL) -> Column:
+    """``//host/x`` → ``https://host/x``; ``/x`` → base + ``/x``; anything else unchanged.
+
+    ``base`` is a fixed site (the reference) or a column, e.g. the page's own scheme://host."""
+    b = F.lit(base.rstrip("/")) if isinstance(base, str) else base
     return (F.when(url.startswith("//"), F.concat(F.lit("https:"), url))
-            .when(url.startswith("/"), F.concat(F.lit(base.rstrip("/")), url))
+            .when(url.startswith("/"), F.concat(b, url))
             .otherwise(url))
 
 

@@ -83,8 +83,12 @@ if __name__ == "__main__":
     for n in (names or sorted(qs)):
         t0 = time.time()
         if n not in os_:
-            rows = qs[n](spark, sf_dir).count()
-            print(f"[rows-only] {n}: {rows} rows ({time.time() - t0:.1f}s)")
+            try:
+                rows = qs[n](spark, sf_dir).count()
+                print(f"[rows-only] {n}: {rows} rows ({time.time() - t0:.1f}s)")
+            except Exception as e:
+                bad += 1
+                print(f"[BAD] {n}: error {type(e).__name__}: {str(e)[:800]}")
             continue
         try:
             probs, ns, nd = compare(spark, con, n, qs[n], os_[n], sf_dir)
