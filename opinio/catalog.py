@@ -662,3 +662,66 @@ SELECT page_id, url, n, 'Untitled Article ' || CAST(n AS VARCHAR) AS title,
 def q_untitled_names(spark, sf):
     p = P.parse_pages(_pages(spark, sf)).where(F.col("container").isNotNull() & (F.size("paragraphs") > 0))
     return P.untitled_names(p, [F.col("page_id").asc()])
+
+
+# ----------------------------------------------------------------------------------------
+# Search stand-in and crawl bookkeeping
+# ----------------------------------------------------------------------------------------
+
+from .operators import ingest as I  # noqa: E402
+
+
+@register("phrase_search", f"WITH {D.search_ctes()} SELECT phrase_seq, phrase, doc_id, url, title FROM hits")
+def q_phrase_search(spark, sf):
+    return MD.search_hits(spark, sf)
+
+
+@register("phrase_search_dated", f"""
+WITH {D.search_ctes()}
+SELECT DISTINCT p.phrase_seq, p.phrase, d.doc_id, d.url, d.title, d.publish_date
+FROM sd d JOIN ph p ON instr(lower(d.text), lower(p.phrase)) > 0 JOIN rg r ON r.phrase_seq = p.phrase_seq
+WHERE d.publish_date BETWEEN r.start_date AND r.end_date""")
+def q_phrase_search_dated(spark, sf):
+    return I.phrase_search_dated(MD.searchable(spark, sf), I.phrases_df(spark, MD.SEARCH_PHRASES),
+                                 I.ranges_df(spark, [(i, a, b) for i in range(len(MD.SEARCH_PHRASES))
+                                                     for a, b in MD.SEARCH_RANGES]))
+
+
+@register("search_union", f"WITH {D.search_ctes()} SELECT phrase_seq, doc_id, url, title FROM hits")
+def q_search_union(spark, sf):
+    return I.search_union(MD.search_hits(spark, sf))
+
+
+@register("per_phrase_cap", f"""
+WITH {D.search_ctes()}
+SELECT * FROM (SELECT phrase_seq, phrase, doc_id, url, title,
+                      CAST(row_number() OVER (PARTITION BY phrase_seq ORDER BY doc_id) AS INTEGER) AS hit_rank FROM hits)
+WHERE hit_rank <= 150""")
+def q_per_phrase_cap(spark, sf):
+    return I.per_phrase_cap(MD.search_hits(spark, sf))
+
+
+@register("dedupe_url_first", f"WITH {D.search_ctes()} SELECT url, phrase_seq, doc_id, title FROM uhits")
+def q_dedupe_url_first(spark, sf):
+    return I.dedupe_url_first(MD.search_hits(spark, sf))
+
+
+@register("target_cap", f"""
+WITH {D.search_ctes()} SELECT url, phrase_seq, doc_id, title FROM uhits ORDER BY phrase_seq, doc_id LIMIT 200""")
+def q_target_cap(spark, sf):
+    return I.target_cap(I.dedupe_url_first(MD.search_hits(spark, sf)))
+
+
+@register("new_urls_only", f"""
+WITH {D.search_ctes()}
+SELECT url, phrase_seq, doc_id, title FROM uhits
+WHERE url NOT IN (SELECT {D.ARTICLE_URL.replace('doc_id', 'l.doc_id')} FROM labels l)""")
+def q_new_urls_only(spark, sf):
+    return I.new_only(I.dedupe_url_first(MD.search_hits(spark, sf)), MD.landed_urls(spark, sf))
+
+
+@register("nested_report", f"""
+WITH {D.search_ctes()}
+SELECT phrase_seq, doc_id, url, title, (SELECT count(*) FROM uhits) AS total_articles FROM uhits""")
+def q_nested_report(spark, sf):
+    return I.run_report(I.dedupe_url_first(MD.search_hits(spark, sf)))

@@ -359,3 +359,16 @@ def absolutize(u: str, base: str) -> str:
 
 def base_of(u: str) -> str:
     return f"regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)"
+
+
+def search_ctes() -> str:
+    from .plans.model import SEARCH_PHRASES, SEARCH_RANGES
+    ph = ", ".join(f"({i}, {q(p)})" for i, p in enumerate(SEARCH_PHRASES))
+    rg = ", ".join(f"({i}, DATE {q(a)}, DATE {q(b)})" for i in range(len(SEARCH_PHRASES)) for a, b in SEARCH_RANGES)
+    return f"""ph AS (SELECT CAST(a AS INTEGER) AS phrase_seq, b AS phrase FROM (VALUES {ph}) AS t(a, b)),
+rg AS (SELECT CAST(a AS INTEGER) AS phrase_seq, b AS start_date, c AS end_date FROM (VALUES {rg}) AS t(a, b, c)),
+sd AS (SELECT doc_id, {ARTICLE_URL} AS url, split_part(text, chr(10), 1) AS title, text,
+              CAST(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS DATE) AS publish_date FROM documents),
+hits AS (SELECT p.phrase_seq, p.phrase, d.doc_id, d.url, d.title FROM sd d JOIN ph p ON instr(lower(d.text), lower(p.phrase)) > 0),
+uhits AS (SELECT url, phrase_seq, doc_id, title FROM (
+          SELECT *, row_number() OVER (PARTITION BY url ORDER BY phrase_seq, doc_id) AS rn FROM hits) WHERE rn = 1)"""

@@ -112,3 +112,31 @@ def rendered(spark: SparkSession, sf: str) -> DataFrame:
     url = article_url(F.col("doc_id"))
     return d.select("doc_id", U.article_filename(url, header).alias("file_name"), "text",
                     render_article(header, url, paragraphs_of(F.col("text"))).alias("article"))
+
+
+# ----------------------------------- search stand-in -----------------------------------
+
+# Fixed parameters: search phrases that occur in the driver prose, and the date ranges each
+# phrase is searched in.
+SEARCH_PHRASES = ("the and", "de la", "und der", "que el", "whst", "eau", "ción", "ouen")
+SEARCH_RANGES = (("2024-01-01", "2024-03-31"), ("2024-07-01", "2024-09-30"))
+
+
+def searchable(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as search results: ``(doc_id, url, title, text, publish_date)``."""
+    d = S.read_table(spark, sf, "documents")
+    t = F.pmod(F.col("doc_id"), F.lit(S.ADAPTER_DAYS)).cast("int")
+    return d.select("doc_id", article_url(F.col("doc_id")).alias("url"),
+                    F.substring_index(F.col("text"), "\n", 1).alias("title"), "text",
+                    F.date_add(F.lit(S.ADAPTER_BASE_DATE).cast("date"), t).alias("publish_date"))
+
+
+def search_hits(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import ingest as I
+    return I.phrase_search(searchable(spark, sf), I.phrases_df(spark, SEARCH_PHRASES))
+
+
+def landed_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """URLs already landed: the loaded (labelled) articles."""
+    ids = S.labelled_ids(spark, sf)
+    return ids.select(article_url(F.col("corpus_id")).alias("url"))
