@@ -725,3 +725,100 @@ WITH {D.search_ctes()}
 SELECT phrase_seq, doc_id, url, title, (SELECT count(*) FROM uhits) AS total_articles FROM uhits""")
 def q_nested_report(spark, sf):
     return I.run_report(I.dedupe_url_first(MD.search_hits(spark, sf)))
+
+
+# ----------------------------------------------------------------------------------------
+# Data-quality audit
+# ----------------------------------------------------------------------------------------
+
+from .operators import quality as QA  # noqa: E402
+
+# Fixed parameters: the source domain of the adapted corpus (languages stand in for the
+# reference's countries), type domain and the column limits of the schema.
+SOURCE_DOMAIN = ("en", "de", "fr", "es")
+TYPE_DOMAIN = ("text", "image", "video")
+SENTIMENT_DOMAIN = ("positive", "neutral", "negative")
+TPCH_FKS = (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+            ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"),
+            ("nation", "n_regionkey", "region", "r_regionkey"))
+
+
+def _audit(spark, sf):
+    c = S.corpus(spark, sf)
+    sa = MD.sentiment_table(spark, sf)
+    parts = [
+        QA.not_null(c, "corpus", "title", "id"),
+        QA.max_length(c, "corpus", "title", 500, "id"),
+        QA.in_domain(c, "corpus", "source", SOURCE_DOMAIN, "id"),
+        QA.in_domain(c, "corpus", "type", TYPE_DOMAIN, "id"),
+        QA.max_length(c, "corpus", "media_name", 200, "id"),
+        QA.unique(c, "corpus", ["id"]),
+        QA.foreign_key(sa, "sentiment_analysis", "corpus_id", c, "id", "corpus"),
+        QA.in_domain(sa, "sentiment_analysis", "sentiment", SENTIMENT_DOMAIN, "id"),
+        QA.unique(G.source_statistics(c, sa, MD.STAT_DATE), "statistics", ["stat_date", "source"]),
+    ]
+    for child, fk, parent, pk in TPCH_FKS:
+        parts.append(QA.foreign_key(S.read_table(spark, sf, child), child, fk, S.read_table(spark, sf, parent), pk, parent))
+    return QA.union_all(parts)
+
+
+def _audit_sql() -> str:
+    parts = [
+        "SELECT 'corpus' AS table_name, 'title not null' AS rule, CAST(id AS VARCHAR) AS key FROM corpus WHERE title IS NULL",
+        "SELECT 'corpus', 'title length <= 500', CAST(id AS VARCHAR) FROM corpus WHERE length(title) > 500",
+        f"SELECT 'corpus', 'source in domain', CAST(id AS VARCHAR) FROM corpus WHERE source IS NOT NULL AND source NOT IN {SOURCE_DOMAIN}",
+        f"SELECT 'corpus', 'type in domain', CAST(id AS VARCHAR) FROM corpus WHERE type IS NOT NULL AND type NOT IN {TYPE_DOMAIN}",
+        "SELECT 'corpus', 'media_name length <= 200', CAST(id AS VARCHAR) FROM corpus WHERE length(media_name) > 200",
+        "SELECT 'corpus', 'unique(id)', CAST(id AS VARCHAR) FROM corpus GROUP BY id HAVING count(*) > 1",
+        "SELECT 'sentiment_analysis', 'corpus_id references corpus.id', CAST(corpus_id AS VARCHAR) FROM sentiment_analysis "
+        "WHERE corpus_id IS NOT NULL AND corpus_id NOT IN (SELECT id FROM corpus)",
+        f"SELECT 'sentiment_analysis', 'sentiment in domain', CAST(id AS VARCHAR) FROM sentiment_analysis "
+        f"WHERE sentiment IS NOT NULL AND sentiment NOT IN {SENTIMENT_DOMAIN}",
+        "SELECT 'statistics', 'unique(stat_date, source)', '2024-12-31|' || source FROM "
+        "(SELECT source FROM corpus LEFT JOIN sentiment_analysis sa ON corpus.id = sa.corpus_id GROUP BY source) "
+        "GROUP BY source HAVING count(*) > 1",
+    ]
+    for child, fk, parent, pk in TPCH_FKS:
+        parts.append(f"SELECT '{child}', '{fk} references {parent}.{pk}', CAST({fk} AS VARCHAR) FROM {child} "
+                     f"WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {parent})")
+    return f"WITH {D.CORPUS_CTE}, {D.SENT_CTE}\n" + "\nUNION ALL ".join(parts)
+
+
+@register("audit_constraints", _audit_sql())
+def q_audit_constraints(spark, sf):
+    return _audit(spark, sf)
+
+
+@register("cascade_delete", f"""
+WITH {D.SENT_CTE}
+SELECT id, corpus_id, sentiment, sentiment_score FROM sentiment_analysis
+WHERE corpus_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
+def q_cascade_delete(spark, sf):
+    deleted = S.read_table(spark, sf, "labels").where(F.col("toxic") == 1).select(F.col("doc_id").alias("id"))
+    return QA.cascade_delete(MD.sentiment_table(spark, sf), deleted).select("id", "corpus_id", "sentiment",
+                                                                            "sentiment_score")
+
+
+@register("apply_defaults", f"""
+WITH {D.SHEET_CTE}
+SELECT keyword, 'all' AS source, coalesce(count, 1) AS count, {D.heat_score('freq', 'count')} AS heat_score FROM sheet""")
+def q_apply_defaults(spark, sf):
+    t = K.typed_sheet(MD.sheet(spark, sf)).select("keyword", F.lit(None).cast("string").alias("source"), "count",
+                                                  "heat_score")
+    return QA.apply_defaults(t, {"source": K.DEFAULT_HOT_SOURCE, "count": 1})
+
+
+@register("corpus_ids", "SELECT doc_id AS id FROM documents")
+def q_corpus_ids(spark, sf):
+    return S.corpus_ids(spark, sf)
+
+
+@register("profile_table", """
+SELECT 'doc_id' AS column_name, 'bigint' AS data_type, count(*) AS n_rows, count(*) FILTER (WHERE doc_id IS NULL) AS n_nulls, count(DISTINCT doc_id) AS n_distinct FROM documents
+UNION ALL SELECT 'text', 'string', count(*), count(*) FILTER (WHERE text IS NULL), count(DISTINCT text) FROM documents
+UNION ALL SELECT 'lang', 'string', count(*), count(*) FILTER (WHERE lang IS NULL), count(DISTINCT lang) FROM documents
+UNION ALL SELECT 'source', 'string', count(*), count(*) FILTER (WHERE source IS NULL), count(DISTINCT source) FROM documents
+UNION ALL SELECT 'n_chars', 'bigint', count(*), count(*) FILTER (WHERE n_chars IS NULL), count(DISTINCT n_chars) FROM documents""")
+def q_profile_table(spark, sf):
+    return QA.profile(S.read_table(spark, sf, "documents"))
