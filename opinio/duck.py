@@ -21,7 +21,7 @@ PUNCT = T.PUNCT
 
 
 def ustrip(x: str) -> str:
-    return f"regexp_replace({x}, {q('^' + WS + '+|' + WS + '+\\z')}, '', 'g')"
+    return f"trim({x}, {q(T.WS_CHARS)})"
 
 
 def tokens(x: str) -> str:

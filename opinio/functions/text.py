@@ -66,9 +66,14 @@ PUNCT = "[!-/:-@\\[-`{-~]"
 DIGITS_ONLY = "^\\p{Nd}+\\z"
 
 
+# The same whitespace as literal characters (for btrim, which only looks at the ends).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def ustrip(c: Column) -> Column:
-    """``str.strip()``: remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+\\z", "")
+    """``str.strip()``: remove leading and trailing Unicode whitespace (work at the ends only)."""
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def word_count_ws(c: Column) -> Column:

@@ -28,10 +28,10 @@ def exploded_tokens(docs: DataFrame, body_col: str = "body", id_col: str = "doc_
 
 
 def corpus_words(docs: DataFrame, body_col: str = "body", stop_words=T.STOP_WORDS) -> DataFrame:
-    """W1 → W2 → W3 as one column ``word`` (one row per kept token); F7 skips empty bodies."""
+    """W1 → W2 → W3 as one column ``word`` (one row per kept token). F7's skip of empty
+    bodies needs no filter here: an empty body yields no tokens."""
     body = F.col(body_col)
-    return (docs.where(F.length(body) > 0)
-            .select(F.explode(T.tokens(body)).alias("token"))
+    return (docs.select(F.explode(T.tokens(body)).alias("token"))
             .where(~T.is_stop_word(F.col("token"), stop_words))
             .select(T.singular(F.col("token")).alias("word")))
 
@@ -47,8 +47,7 @@ def stopword_counts(docs: DataFrame, body_col: str = "body", id_col: str = "doc_
 
 def singular_map(docs: DataFrame, body_col: str = "body", stop_words=T.STOP_WORDS) -> DataFrame:
     """W3 audit: each kept token, the word it becomes, and how often."""
-    return (docs.where(F.length(F.col(body_col)) > 0)
-            .select(F.explode(T.tokens(F.col(body_col))).alias("token"))
+    return (docs.select(F.explode(T.tokens(F.col(body_col))).alias("token"))
             .where(~T.is_stop_word(F.col("token"), stop_words))
             .groupBy("token").agg(F.count(F.lit(1)).alias("n"))
             .select("token", T.singular(F.col("token")).alias("word"), "n"))
@@ -79,20 +78,25 @@ def top_words(docs: DataFrame, n: int = 100, body_col: str = "body",
               stop_words=T.STOP_WORDS) -> DataFrame:
     """L6 + W5 + W7: the ``n`` most frequent words with relative frequency and percent text.
 
-    Ties are broken by the word (the reference leaves listing order of ties open).
-    ``frequency`` is ``count / total`` as a double; ``percent`` is that number times 100
-    written with four decimals, rounded half-up from the exact ratio.
+    One pass: ``rollup(word)`` yields every word count plus the grand total (the W5
+    denominator) from the same partial/final aggregate. The total row is ordered first, so
+    a single TakeOrdered of ``n + 1`` rows carries both; the window below runs over those
+    ``n + 1`` rows only. Ties are broken by the word (the reference leaves them open).
+    ``frequency`` is ``count / total`` (double); ``percent`` is that ratio times 100 with
+    four decimals, rounded half-up from the exact ratio.
     """
-    counts = word_count(docs, body_col, stop_words)
-    total = counts.agg(F.sum("count").alias("total_words"))
-    top = counts.orderBy(F.col("count").desc(), F.col("word").asc()).limit(n)
-    # The window runs over at most ``n`` rows (after the limit), never over the corpus.
+    counts = (corpus_words(docs, body_col, stop_words).rollup("word")
+              .agg(F.count(F.lit(1)).alias("count"), F.grouping("word").alias("_is_total")))
+    top = counts.orderBy(F.col("_is_total").desc(), F.col("count").desc(), F.col("word").asc()).limit(n + 1)
+    whole = Window.partitionBy(F.lit(1))
+    rows = top.withColumn("total_words", F.max(F.when(F.col("_is_total") == 1, F.col("count"))).over(whole)) \
+        .where(F.col("_is_total") == 0)
     w = Window.orderBy(F.col("count").desc(), F.col("word").asc())
-    return (top.crossJoin(F.broadcast(total)).select(
+    return rows.select(
         F.row_number().over(w).alias("rank"), "word", "count",
         (F.col("count") / F.col("total_words")).alias("frequency"),
         percent_text(F.col("count"), F.col("total_words")).alias("percent"),
-        "total_words"))
+        "total_words")
 
 
 def frequency_table(docs: DataFrame, body_col: str = "body", stop_words=T.STOP_WORDS) -> DataFrame:

@@ -21,8 +21,28 @@ ADAPTER_BASE_DATE = "2024-01-01"
 ADAPTER_DAYS = 365
 
 
+# Tables whose rows carry long text: per-row work (regex, tokenising) dominates their cost.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over the cluster when the scan has fewer splits than cores.
+
+    A large table already arrives in thousands of splits and is returned untouched (no extra
+    shuffle). A table stored as one big row group would otherwise run every regex and
+    tokeniser of the job in a single task; a round-robin repartition (deterministic on
+    retry, since Spark sorts before it) fixes that for the price of one exchange. Column
+    pruning still reaches the scan below the exchange.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def corpus_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
