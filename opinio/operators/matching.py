@@ -27,6 +27,7 @@ from ..functions.text import WS
 
 Q = 8                 # q-gram length of the containment join
 MIN_COMMON = 3        # fixed value: "at least three common words"
+SHORT_BROADCAST_ROWS = 10_000  # short probes tested by a broadcast nested loop up to this many
 NORM_DROP = "[^\\p{L}\\p{N}_" + WS[1:-1] + "]"
 
 
@@ -73,9 +74,13 @@ def overlap_pairs(a: DataFrame, r: DataFrame, t: int = MIN_COMMON) -> DataFrame:
 
 
 def _grams(s: Column, k: int | Column) -> Column:
-    """Distinct substrings of length ``k`` (empty array if the string is shorter)."""
+    """All substrings of length ``k`` in order (empty array if the string is shorter).
+
+    Repeats are kept: rarity only steers which gram probes, and candidate pairs are made
+    distinct before verification, so exactness does not depend on it (and an
+    ``array_distinct`` over thousands of grams would cost quadratic time per string)."""
     n = F.length(s) - k + 1
-    return F.when(n >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(s, i, k)))) \
+    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(s, i, k))) \
         .otherwise(F.array().cast("array<string>"))
 
 
@@ -92,16 +97,22 @@ def contained_pairs(x: DataFrame, y: DataFrame, q: int = Q) -> DataFrame:
              .join(gfreq, "g")
              .groupBy("x_id").agg(F.min_by("g", F.struct("f", "g")).alias("g")))
     long_c = probe.join(yg, "g").select("x_id", "y_id")
-    # Short probes (length < q): the whole string against y's k-grams of that length.
-    # The distinct short lengths are at most q small integers.
+    # Short probes (length < q). If a row count proves them few, test them directly with a
+    # broadcast nested-loop ``instr`` join; beyond the bound, join each string against
+    # y's k-grams of its own length k (the distinct lengths are at most q small integers).
     xs = x.where(F.length("x_str") < q).select("x_id", F.col("x_str").alias("g"), F.length("x_str").alias("k"))
-    ks = [r[0] for r in xs.select("k").distinct().collect()]
+    n_short = xs.limit(SHORT_BROADCAST_ROWS + 1).count()
     short_c = None
-    for k in sorted(ks):
-        grams = F.array(F.lit("")) if k == 0 else _grams(F.col("y_str"), k)
-        yk = y.select("y_id", F.explode(grams).alias("g"))
-        part = xs.where(F.col("k") == k).join(yk, "g").select("x_id", "y_id")
-        short_c = part if short_c is None else short_c.unionByName(part)
+    if 0 < n_short <= SHORT_BROADCAST_ROWS:
+        short_c = (y.select("y_id", "y_str").join(F.broadcast(xs), F.instr(F.col("y_str"), F.col("g")) > 0)
+                   .select("x_id", "y_id"))
+    elif n_short > SHORT_BROADCAST_ROWS:
+        ks = [r[0] for r in xs.select("k").distinct().collect()]
+        for k in sorted(ks):
+            grams = F.array(F.lit("")) if k == 0 else _grams(F.col("y_str"), k)
+            yk = y.select("y_id", F.explode(grams).alias("g"))
+            part = xs.where(F.col("k") == k).join(yk, "g").select("x_id", "y_id")
+            short_c = part if short_c is None else short_c.unionByName(part)
     cand = long_c if short_c is None else long_c.unionByName(short_c)
     cand = cand.distinct()
     return (cand.join(x, "x_id").join(y, "y_id")

@@ -37,9 +37,9 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_paragraphs(pages: DataFrame) -> DataFrame:
-    """One row per paragraph ``(page_id, pos, paragraph)``."""
-    return (parse_pages(pages).where(F.col("container").isNotNull())
-            .select("page_id", F.posexplode("paragraphs").alias("pos", "paragraph")))
+    """One row per paragraph ``(page_id, pos, paragraph)``. Pages without a container
+    have NULL paragraphs and ``posexplode`` emits nothing for them (no filter needed)."""
+    return parse_pages(pages).select("page_id", F.posexplode("paragraphs").alias("pos", "paragraph"))
 
 
 def page_titles(pages: DataFrame, hits: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ because adapters are plain projections.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +36,17 @@ def spread(df: DataFrame) -> DataFrame:
 
     A large table already arrives in thousands of splits and is returned untouched (no extra
     shuffle). A table stored as one big row group would otherwise run every regex and
-    tokeniser of the job in a single task; a round-robin repartition (deterministic on
-    retry, since Spark sorts before it) fixes that for the price of one exchange. Column
-    pruning still reaches the scan below the exchange.
+    tokeniser of the job in a single task. Rows are hash-spread by their position in the
+    scan (``monotonically_increasing_id``: the same on a retried task of a file scan, so a
+    lost executor recomputes the same split) and the spread copy is persisted
+    (memory and disk). The persisted relation is also a barrier for the optimizer: filters
+    that Spark infers from costly expressions (e.g. ``size(regex…) > 0`` before an explode)
+    would otherwise be pushed back below the exchange into the single scan task.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def corpus_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
