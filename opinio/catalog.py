@@ -822,3 +822,12 @@ UNION ALL SELECT 'source', 'string', count(*), count(*) FILTER (WHERE source IS
 UNION ALL SELECT 'n_chars', 'bigint', count(*), count(*) FILTER (WHERE n_chars IS NULL), count(DISTINCT n_chars) FROM documents""")
 def q_profile_table(spark, sf):
     return QA.profile(S.read_table(spark, sf, "documents"))
+
+
+# ----------------------------------------------------------------------------------------
+# Scorer context rules (V2)
+# ----------------------------------------------------------------------------------------
+
+@register("lexicon_score_context", "WITH " + D.context_scores_sql())
+def q_lexicon_score_context(spark, sf):
+    return V.lexicon_scores_context(S.bodies(spark, sf), MD.lexicon(spark))

@@ -372,3 +372,37 @@ sd AS (SELECT doc_id, {ARTICLE_URL} AS url, split_part(text, chr(10), 1) AS titl
 hits AS (SELECT p.phrase_seq, p.phrase, d.doc_id, d.url, d.title FROM sd d JOIN ph p ON instr(lower(d.text), lower(p.phrase)) > 0),
 uhits AS (SELECT url, phrase_seq, doc_id, title FROM (
           SELECT *, row_number() OVER (PARTITION BY url ORDER BY phrase_seq, doc_id) AS rn FROM hits) WHERE rn = 1)"""
+
+
+def context_scores_sql() -> str:
+    from .operators import sentiment as V
+    negs = "(" + ", ".join(q(w) for w in V.NEGATORS) + ")"
+    bcase = lambda x: "CASE " + " ".join(f"WHEN {x} = {q(k)} THEN CAST({v} AS DECIMAL(6,3))" for k, v in V.BOOSTERS) + \
+        " ELSE CAST(0 AS DECIMAL(6,3)) END"
+    prev = lambda j: f"(CASE WHEN i - {j} >= 1 THEN toks[i - {j}] END)"
+    neg = " OR ".join(f"coalesce({prev(j)} IN {negs}, false)" for j in (1, 2, 3))
+    boost = " + ".join(f"{bcase(prev(j))} * {d}" for j, d in zip((1, 2, 3), V.BOOST_DAMPING))
+    fb = " ".join(f"coalesce(list_position(toks, {q(w)}), 0)" for w in V.BUT_WORDS[:1])
+    ex = "(length(body) - length(replace(body, '!', '')))"
+    qm = "(length(body) - length(replace(body, '?', '')))"
+    emph = (f"CAST(least({ex}, {V.EXCLAIM_MAX}) * {V.EXCLAIM_STEP} + CASE WHEN {qm} <= 1 THEN 0 "
+            f"WHEN {qm} <= {V.QUESTION_MAX_STEPS} THEN {qm} * {V.QUESTION_STEP} ELSE {V.QUESTION_CAP} END AS DECIMAL(8,4))")
+    ctx = (f"list_transform(toks, lambda t, i: {{'token': t, 'neg': ({neg}), "
+           f"'boost': CAST({boost} AS DECIMAL(8,4)), "
+           f"'but': CAST(CASE WHEN fb = 0 THEN 1 WHEN i < fb THEN {V.BUT_BEFORE} WHEN i > fb THEN {V.BUT_AFTER} ELSE 1 END AS DECIMAL(3,2))}})")
+    return f"""{BODY_CTE.replace('body AS (', 'body AS (', 1)},
+pre AS (SELECT doc_id, {emph} AS emph, {tokens('body')} AS toks FROM body),
+pre2 AS (SELECT doc_id, emph, toks, {fb} AS fb FROM pre),
+cx AS (SELECT doc_id, emph, unnest(CASE WHEN len(toks) = 0 THEN [NULL] ELSE {ctx} END) AS c FROM pre2),
+lex AS (SELECT * FROM {_lex_values()}),
+hits AS (SELECT doc_id, emph, c.neg AS neg, c.boost AS boost, c.but AS but, lex.valence AS v
+         FROM cx LEFT JOIN lex ON c.token = lex.token),
+adj AS (SELECT doc_id, emph, v,
+          (CASE WHEN neg THEN (v + CASE WHEN v <> 0 THEN CASE WHEN v < 0 THEN -boost ELSE boost END ELSE 0 END) * {V.NEGATION_SCALAR}
+                ELSE (v + CASE WHEN v <> 0 THEN CASE WHEN v < 0 THEN -boost ELSE boost END ELSE 0 END) END) * but AS a
+        FROM hits),
+g AS (SELECT doc_id, count(v) AS n_hits, CAST(coalesce(sum(a), 0) AS DECIMAL(20,6)) AS s, max(emph) AS emph FROM adj GROUP BY doc_id),
+t AS (SELECT doc_id, n_hits, CAST(CASE WHEN s > 0 THEN s + emph WHEN s < 0 THEN s - emph ELSE s END AS DECIMAL(20,6)) AS valence_sum FROM g)
+SELECT doc_id, n_hits, valence_sum,
+       least(greatest(CAST(valence_sum AS DOUBLE) / sqrt(CAST(valence_sum AS DOUBLE) * CAST(valence_sum AS DOUBLE) + 15.0), -1.0), 1.0) AS compound
+FROM t"""

@@ -9,7 +9,9 @@ shuffle on ``doc_id``. No window, no sort, no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sentiment as SF
@@ -139,3 +141,85 @@ def class_counts_wide(scores: DataFrame) -> DataFrame:
                       F.count_if(lab == "neutral").alias("neutral"),
                       F.count_if(lab == "negative").alias("negative"),
                       F.count(F.lit(1)).alias("total"))
+
+
+# ------------------------------ V2: context rules ---------------------------------------
+
+# Fixed values of the published rule-based scorer (Hutto & Gilbert 2014): booster
+# increment, damping of boosters 2 and 3 words back, negation scalar, "but" weights,
+# punctuation emphasis.
+BOOST_DAMPING = (Decimal("1"), Decimal("0.95"), Decimal("0.9"))
+NEGATION_SCALAR = Decimal("-0.74")
+BUT_BEFORE, BUT_AFTER = Decimal("0.5"), Decimal("1.5")
+EXCLAIM_STEP, EXCLAIM_MAX = Decimal("0.292"), 4
+QUESTION_STEP, QUESTION_MAX_STEPS, QUESTION_CAP = Decimal("0.18"), 3, Decimal("0.96")
+# Fixture word lists for the driver prose (parameters; ordinary English words never occur).
+NEGATORS = ("not", "nicht", "no", "pas", "never")
+BOOSTERS = (("very", Decimal("0.293")), ("ly", Decimal("0.293")), ("ea", Decimal("-0.293")))
+BUT_WORDS = ("but",)
+
+
+def first_position(toks: Column, words) -> Column:
+    """1-based position of the first of ``words`` in ``toks`` (0 if none)."""
+    pos = F.array_position(toks, words[0])
+    for w in words[1:]:
+        p = F.array_position(toks, w)
+        pos = F.when((pos == 0) | ((p > 0) & (p < pos)), p).otherwise(pos)
+    return pos
+
+
+def context_tokens(toks: Column, first_but: Column, negators=NEGATORS, boosters=BOOSTERS) -> Column:
+    """Per token: ``struct(token, neg, boost, but)`` computed in the row (array lambdas) —
+    a word's context is its own document's token array, so no window shuffle is needed.
+    ``toks`` and ``first_but`` must be plain columns of an earlier projection."""
+    bmap = F.create_map(*[x for k, v in boosters for x in (F.lit(k), F.lit(v).cast("decimal(6,3)"))])
+
+    def ctx(t, i):
+        prev = [F.get(toks, i - j) for j in (1, 2, 3)]
+        neg = None
+        for pv in prev:
+            c = F.coalesce(pv.isin(*negators), F.lit(False))
+            neg = c if neg is None else (neg | c)
+        boost = F.lit(Decimal("0")).cast("decimal(8,4)")
+        for pv, d in zip(prev, BOOST_DAMPING):
+            boost = boost + F.coalesce(F.try_element_at(bmap, pv), F.lit(Decimal("0"))) * F.lit(d)
+        but = (F.when(first_but == 0, F.lit(Decimal("1"))).when(i + 1 < first_but, F.lit(BUT_BEFORE))
+               .when(i + 1 > first_but, F.lit(BUT_AFTER)).otherwise(F.lit(Decimal("1"))))
+        return F.struct(t.alias("token"), neg.alias("neg"), boost.cast("decimal(8,4)").alias("boost"),
+                        but.cast("decimal(3,2)").alias("but"))
+
+    return F.transform(toks, ctx)
+
+
+def punctuation_emphasis(body: Column) -> Column:
+    """'!' adds 0.292 each (at most 4); more than one '?' adds 0.18 each up to 3, else 0.96."""
+    ex = F.length(body) - F.length(F.replace(body, F.lit("!"), F.lit("")))
+    qm = F.length(body) - F.length(F.replace(body, F.lit("?"), F.lit("")))
+    ep = F.least(ex, F.lit(EXCLAIM_MAX)) * F.lit(EXCLAIM_STEP)
+    qp = (F.when(qm <= 1, F.lit(Decimal("0"))).when(qm <= QUESTION_MAX_STEPS, qm * F.lit(QUESTION_STEP))
+          .otherwise(F.lit(QUESTION_CAP)))
+    return (ep + qp).cast("decimal(8,4)")
+
+
+def lexicon_scores_context(docs: DataFrame, lexicon: DataFrame, body_col: str = "body",
+                           id_col: str = "doc_id") -> DataFrame:
+    """V2: V1 with negation (3 words back), damped boosters, "but" weights and punctuation
+    emphasis; exact decimal arithmetic, one conversion to double for the normaliser."""
+    lex = bounded_broadcast(lexicon.select("token", F.col("valence").cast("decimal(4,2)").alias("valence")))
+    body = F.col(body_col)
+    pre = docs.select(F.col(id_col).alias("doc_id"), punctuation_emphasis(body).alias("emph"),
+                      T.tokens(body).alias("toks"))
+    pre = pre.select("*", first_position(F.col("toks"), BUT_WORDS).alias("first_but"))
+    rows = pre.select("doc_id", "emph", F.explode_outer(context_tokens(F.col("toks"), F.col("first_but"))).alias("c"))
+    hits = rows.select("doc_id", "emph", "c.*").join(lex, "token", "left")
+    v = F.col("valence")
+    signed_boost = F.when(v < 0, -F.col("boost")).otherwise(F.col("boost"))
+    adj = (v + F.when(v != 0, signed_boost).otherwise(F.lit(0)))
+    adj = F.when(F.col("neg"), adj * F.lit(NEGATION_SCALAR)).otherwise(adj) * F.col("but")
+    agg = hits.groupBy("doc_id").agg(
+        F.count("valence").alias("n_hits"),
+        F.coalesce(F.sum(adj), F.lit(0)).cast("decimal(20,6)").alias("s"),
+        F.max("emph").alias("emph"))
+    s = F.col("s")
+    total = F.when(s > 0, s + F.col("emph")).when(s < 0, s - F.col("emph")).otherwise(s).cast("decimal(20,6)")
+    return agg.select("doc_id", "n_hits", total.alias("valence_sum"), SF.compound(total).alias("compound"))
