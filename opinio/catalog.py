@@ -831,3 +831,48 @@ def q_profile_table(spark, sf):
 @register("lexicon_score_context", "WITH " + D.context_scores_sql())
 def q_lexicon_score_context(spark, sf):
     return V.lexicon_scores_context(S.bodies(spark, sf), MD.lexicon(spark))
+
+
+# ----------------------------------------------------------------------------------------
+# Emotion rates (V10) and n-gram search
+# ----------------------------------------------------------------------------------------
+
+# Fixed fixture: an emotion lexicon over tokens that occur in the driver prose.
+EMOTION_LEXICON = (("ing", "joy"), ("que", "joy"), ("ou", "trust"), ("und", "trust"),
+                   ("thth", "fear"), ("der", "fear"), ("tion", "surprise"), ("los", "surprise"))
+
+
+def _emotion_sql() -> str:
+    vals = ", ".join(f"('{t}', '{e}')" for t, e in EMOTION_LEXICON)
+    pct = lambda c: (f"CASE WHEN n_tokens > 0 THEN CAST(CAST(({c} * 20000 + n_tokens) // (n_tokens * 2) AS DOUBLE) / 100 "
+                     f"AS DECIMAL(5,2)) ELSE CAST(0 AS DECIMAL(5,2)) END")
+    cols = ", ".join(f"{pct('_' + e)} AS emotion_{e}" for e in V.EMOTIONS)
+    cnts = ", ".join(f"count(*) FILTER (WHERE emotion = '{e}') AS _{e}" for e in V.EMOTIONS)
+    return f"""WITH {D.BODY_CTE},
+tk AS (SELECT doc_id, {D.tokens('body')} AS t FROM body),
+toks AS (SELECT doc_id, unnest(CASE WHEN len(t) = 0 THEN [NULL::VARCHAR] ELSE t END) AS token FROM tk),
+emo AS (SELECT * FROM (VALUES {vals}) AS e(token, emotion)),
+g AS (SELECT doc_id, count(toks.token) AS n_tokens, {cnts} FROM toks LEFT JOIN emo USING (token) GROUP BY doc_id)
+SELECT doc_id, n_tokens, {cols} FROM g"""
+
+
+@register("emotion_rates", _emotion_sql())
+def q_emotion_rates(spark, sf):
+    lex = spark.createDataFrame(list(EMOTION_LEXICON), "token string, emotion string")
+    return V.emotion_rates(S.bodies(spark, sf), lex)
+
+
+def _ngram_sql() -> str:
+    grams = ("list_distinct(list_filter(list_transform(range(1, greatest(length(lower(phrase)) - 1, 1) + 1), "
+             "lambda i: substr(lower(phrase), i, 2)), lambda g: length(g) = 2 AND NOT regexp_matches(g, '\\s')))")
+    return f"""WITH {D.search_ctes()},
+pg AS (SELECT phrase_seq, {grams} AS grams FROM ph),
+j AS (SELECT p.phrase_seq, d.doc_id, len(list_filter(p.grams, lambda g: instr(lower(d.title || ' ' || d.text), g) > 0)) AS shared,
+             len(p.grams) AS n_grams FROM sd d, pg p WHERE len(p.grams) > 0)
+SELECT phrase_seq, doc_id, CAST(shared AS INTEGER) AS shared, CAST(n_grams AS INTEGER) AS n_grams FROM j WHERE shared > 0"""
+
+
+@register("ngram_search", _ngram_sql())
+def q_ngram_search(spark, sf):
+    from .operators import search as SR
+    return SR.ngram_search(MD.searchable(spark, sf), I.phrases_df(spark, MD.SEARCH_PHRASES))

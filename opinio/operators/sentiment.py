@@ -223,3 +223,25 @@ def lexicon_scores_context(docs: DataFrame, lexicon: DataFrame, body_col: str =
     s = F.col("s")
     total = F.when(s > 0, s + F.col("emph")).when(s < 0, s - F.col("emph")).otherwise(s).cast("decimal(20,6)")
     return agg.select("doc_id", "n_hits", total.alias("valence_sum"), SF.compound(total).alias("compound"))
+
+
+# ------------------------------ V10: emotion rates --------------------------------------
+
+EMOTIONS = ("joy", "trust", "fear", "surprise")
+
+
+def emotion_rates(docs: DataFrame, emotion_lexicon: DataFrame, body_col: str = "body",
+                  id_col: str = "doc_id") -> DataFrame:
+    """V10 [ours]: per document, the share of tokens carrying each emotion, in percent as
+    DECIMAL(5,2) (``emotion_joy`` …); rounded half-up from the exact ratio."""
+    lex = bounded_broadcast(emotion_lexicon.select("token", "emotion"))
+    toks = docs.select(F.col(id_col).alias("doc_id"), F.explode_outer(T.tokens(F.col(body_col))).alias("token"))
+    g = toks.join(lex, "token", "left").groupBy("doc_id").agg(
+        F.count("token").alias("n_tokens"),
+        *[F.count_if(F.col("emotion") == e).alias(f"_{e}") for e in EMOTIONS])
+
+    def pct(c):
+        units = F.call_function("div", c * 20000 + F.col("n_tokens"), F.col("n_tokens") * 2)
+        return F.when(F.col("n_tokens") > 0, (units.cast("decimal(20,0)") / 100).cast("decimal(5,2)")) \
+            .otherwise(F.lit(0).cast("decimal(5,2)"))
+    return g.select("doc_id", "n_tokens", *[pct(F.col(f"_{e}")).alias(f"emotion_{e}") for e in EMOTIONS])
