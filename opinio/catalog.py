@@ -536,7 +536,7 @@ def q_extract_body(spark, sf):
 
 @register("extract_body_fallback", f"SELECT doc_id, {D.body_fallback('text')} AS body FROM documents")
 def q_extract_body_fallback(spark, sf):
-    d = S.read_table(spark, sf, "documents")
+    d = S.read_table(spark, sf, "documents", text_work=True)
     return d.select("doc_id", TX.body_fallback(F.col("text")).alias("body"))
 
 
@@ -582,7 +582,7 @@ from .operators import pages as P  # noqa: E402
 
 
 def _pages(spark, sf):
-    return S.read_table(spark, sf, "pages").select("page_id", "url", "html")
+    return S.read_table(spark, sf, "pages", text_work=True).select("page_id", "url", "html")
 
 
 @register("page_paragraphs", f"""

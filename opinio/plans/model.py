@@ -56,7 +56,7 @@ def keywords(spark: SparkSession, sf: str) -> DataFrame:
 def conversation_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """A second text source: conversation turns as ``(doc_id, body)`` (doc_id = conv·1000+turn)."""
     from ..functions import text as T
-    c = S.read_table(spark, sf, "conversations")
+    c = S.read_table(spark, sf, "conversations", text_work=True)
     return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), T.ustrip(F.col("text")).alias("body"))
 
 
@@ -78,7 +78,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
     """Loaded articles: ``(a_id, a_title)``; the title is the saved file name minus ``.txt``
     (header title cleaned and cut to 100 characters), as the loader sees it."""
     from ..functions import urls as U
-    d = S.read_table(spark, sf, "documents")
+    d = S.read_table(spark, sf, "documents", text_work=True)
     header = F.substring_index(F.col("text"), "\n", 1)
     return d.select(F.col("doc_id").alias("a_id"),
                     U.loader_title(U.article_filename(article_url(F.col("doc_id")), header)).alias("a_title"))
@@ -118,7 +118,7 @@ def rendered(spark: SparkSession, sf: str) -> DataFrame:
     """K11 round trip input: every document rendered as an article file ``(doc_id, file_name, text, article)``."""
     from ..functions import urls as U
     from ..sources.articles import paragraphs_of, render_article
-    d = S.read_table(spark, sf, "documents")
+    d = S.read_table(spark, sf, "documents", text_work=True)
     header = F.substring_index(F.col("text"), "\n", 1)
     url = article_url(F.col("doc_id"))
     return d.select("doc_id", U.article_filename(url, header).alias("file_name"), "text",
@@ -135,7 +135,7 @@ SEARCH_RANGES = (("2024-01-01", "2024-03-31"), ("2024-07-01", "2024-09-30"))
 
 def searchable(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as search results: ``(doc_id, url, title, text, publish_date)``."""
-    d = S.read_table(spark, sf, "documents")
+    d = S.read_table(spark, sf, "documents", text_work=True)
     t = F.pmod(F.col("doc_id"), F.lit(S.ADAPTER_DAYS)).cast("int")
     return d.select("doc_id", article_url(F.col("doc_id")).alias("url"),
                     F.substring_index(F.col("text"), "\n", 1).alias("title"), "text",

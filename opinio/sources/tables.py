@@ -26,9 +26,12 @@ ADAPTER_DAYS = 365
 TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, text_work: bool = False) -> DataFrame:
+    """A driver table. ``text_work``: the caller runs per-row text work (regex, tokenising)
+    over it, so a table that arrives in too few splits is spread first; plain scans keep
+    column pruning and filter pushdown down to Parquet."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spread(df) if (text_work and name in TEXT_TABLES) else df
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -80,7 +83,7 @@ def corpus_from_documents(d: DataFrame) -> DataFrame:
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article bodies for the text chains: ``(doc_id, body)`` with the body stripped."""
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", text_work=True)
     return d.select("doc_id", T.ustrip(F.col("text")).alias("body"))
 
 
