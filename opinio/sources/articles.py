@@ -16,6 +16,11 @@ from ..functions.urls import loader_title
 REPLACEMENT_CHAR = "�"
 
 
+def _decoded(name: Column) -> Column:
+    """``_metadata.file_name`` is URI-encoded ('%20' for a space); a literal '+' must survive."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def scan_articles(spark: SparkSession, folder: str, tolerant: bool = False) -> DataFrame:
     """S1 (+S2): ``(file_name, file_path, title, content, type)`` for every ``*.txt`` file.
 
@@ -24,7 +29,7 @@ def scan_articles(spark: SparkSession, folder: str, tolerant: bool = False) -> D
     """
     raw = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt")
            .option("recursiveFileLookup", False).text(folder)
-           .select(F.col("value"), F.col("_metadata.file_name").alias("file_name"),
+           .select(F.col("value"), _decoded(F.col("_metadata.file_name")).alias("file_name"),
                    F.col("_metadata.file_path").alias("file_path")))
     content = F.regexp_replace("value", REPLACEMENT_CHAR, "") if tolerant else F.col("value")
     return raw.select("file_name", "file_path", loader_title(F.col("file_name")).alias("title"),
