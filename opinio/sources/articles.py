@@ -27,8 +27,7 @@ def scan_articles(spark: SparkSession, folder: str, tolerant: bool = False) -> D
     title = file name with ``.txt`` removed; content stripped; type 'text'. ``tolerant``
     drops the replacement character that undecodable bytes turn into.
     """
-    raw = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt")
-           .option("recursiveFileLookup", False).text(folder)
+    raw = (spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=False)
            .select(F.col("value"), _decoded(F.col("_metadata.file_name")).alias("file_name"),
                    F.col("_metadata.file_path").alias("file_path")))
     content = F.regexp_replace("value", REPLACEMENT_CHAR, "") if tolerant else F.col("value")
