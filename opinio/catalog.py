@@ -876,3 +876,27 @@ SELECT phrase_seq, doc_id, CAST(shared AS INTEGER) AS shared, CAST(n_grams AS IN
 def q_ngram_search(spark, sf):
     from .operators import search as SR
     return SR.ngram_search(MD.searchable(spark, sf), I.phrases_df(spark, MD.SEARCH_PHRASES))
+
+
+# ----------------------------------------------------------------------------------------
+# Corpus load (K1 + F8 + F12) from article files (rendered from the documents)
+# ----------------------------------------------------------------------------------------
+
+from .sinks import tables as SK  # noqa: E402
+from .functions import urls as UR  # noqa: E402
+
+# The constants the reference's loader writes for every article.
+LOAD_SOURCE, LOAD_MEDIA = "uk", "BBC"
+
+
+@register("load_corpus", f"""
+WITH {D.RENDERED_CTE}
+SELECT doc_id AS id, replace(file_name, '.txt', '') AS title, {D.ustrip('article')} AS content,
+       '{LOAD_SOURCE}' AS source, '{LOAD_MEDIA}' AS media_name, 'text' AS type, file_name AS file_path,
+       {D.publish_date(D.ustrip('article'))} AS publish_date
+FROM rendered""")
+def q_load_corpus(spark, sf):
+    r = MD.rendered(spark, sf)
+    scanned = r.select("doc_id", F.col("file_name").alias("file_path"), UR.loader_title(F.col("file_name")).alias("title"),
+                       TX.ustrip(F.col("article")).alias("content"), F.lit("text").alias("type"))
+    return SK.to_corpus(scanned, LOAD_SOURCE, LOAD_MEDIA, id_col="doc_id")

@@ -52,3 +52,24 @@ def test_read_sheet_csv(spark, tmpdir_fresh):
         f.write("词语,出现次数,频率\nspace,40,1.2345%\nnan,3,1%\n")
     t = K.typed_sheet(K.read_sheet(spark, p)).collect()
     assert [(r["keyword"], r["count"], str(r["heat_score"]), str(r["weight"])) for r in t] == [("space", 40, "1.23", "0.01")]
+
+
+def test_sinks_roundtrip(spark, tmpdir_fresh):
+    from pyspark.sql import functions as F
+    from opinio.sinks import tables as SK
+    lines = spark.createDataFrame([(1, 2, "b"), (0, 1, "h"), (1, 1, "a"), (2, 1, "c")], "section int, rank long, line string")
+    out = os.path.join(tmpdir_fresh, "report")
+    SK.write_report_text(lines.repartition(3), out)
+    parts = sorted(p for p in os.listdir(out) if p.startswith("part-"))
+    text = "".join(open(os.path.join(out, p), encoding="utf-8").read() for p in parts)
+    assert text == "h\na\nb\nc\n"
+    stats = spark.createDataFrame([("2024-01-01", "en", 1), ("2024-01-02", "en", 2)], "stat_date string, source string, n int")
+    sp = os.path.join(tmpdir_fresh, "stats")
+    SK.refresh_statistics(stats, sp, keep_history=True)
+    SK.refresh_statistics(stats.where(F.col("stat_date") == "2024-01-02").withColumn("n", F.lit(9)), sp, keep_history=True)
+    got = {(r["stat_date"].isoformat() if hasattr(r["stat_date"], "isoformat") else r["stat_date"], r["n"])
+           for r in spark.read.parquet(sp).collect()}
+    assert got == {("2024-01-01", 1), ("2024-01-02", 9)}
+    arts = spark.createDataFrame([("/x/a.txt", "a", "2023-05-06 body", "text")], "file_path string, title string, content string, type string")
+    c = SK.to_corpus(arts, "uk", "BBC").first()
+    assert c["source"] == "uk" and str(c["publish_date"]) == "2023-05-06" and isinstance(c["id"], int)
