@@ -24,10 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WS
+from ..plans.joins import bounded_broadcast
 
 Q = 8                 # q-gram length of the containment join
 MIN_COMMON = 3        # fixed value: "at least three common words"
 SHORT_BROADCAST_ROWS = 10_000  # short probes tested by a broadcast nested loop up to this many
+VERIFY_BROADCAST_ROWS = 50_000  # titles (word arrays) broadcast for verification up to this many
 NORM_DROP = "[^\\p{L}\\p{N}_" + WS[1:-1] + "]"
 
 
@@ -67,8 +69,14 @@ def overlap_pairs(a: DataFrame, r: DataFrame, t: int = MIN_COMMON) -> DataFrame:
     prefix = ordered.select("side", "id", F.explode(F.slice("ws", F.lit(1), F.size("ws") - (t - 1))).alias("p"))
     pa = prefix.where(F.col("side") == 0).select(F.col("id").alias("a_id"), F.col("p.w").alias("w"))
     pr = prefix.where(F.col("side") == 1).select(F.col("id").alias("r_id"), F.col("p.w").alias("w"))
+    # A pair appears once per shared prefix word; dedupe before verifying (pairs with long
+    # titles repeat most and are the costly ones to verify).
     cand = pa.join(pr, "w").select("a_id", "r_id").distinct()
-    return (cand.join(a.select("a_id", "a_words"), "a_id").join(r.select("r_id", "r_words"), "r_id")
+    # Verification needs both word sets; a side proven small by a row count is broadcast,
+    # otherwise the candidates are shuffled to it.
+    aw = bounded_broadcast(a.select("a_id", "a_words"), VERIFY_BROADCAST_ROWS)
+    rw = bounded_broadcast(r.select("r_id", "r_words"), VERIFY_BROADCAST_ROWS)
+    return (cand.join(aw, "a_id").join(rw, "r_id")
             .where(F.size(F.array_intersect("a_words", "r_words")) >= t)
             .select("a_id", "r_id"))
 
