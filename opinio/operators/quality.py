@@ -59,12 +59,15 @@ def apply_defaults(df: DataFrame, defaults: dict) -> DataFrame:
                        for c in df.columns])
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column ``(column_name, data_type, n_rows, n_nulls, n_distinct)`` in one pass
-    (one aggregate, then an unpivot of its single row)."""
+    (one aggregate, then an unpivot of its single row). ``exact=False`` uses HyperLogLog
+    sketches (``approx_count_distinct``): mergeable partial states instead of one distinct
+    shuffle per column — the choice for wide tables at scale."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in df.columns:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), F.count_distinct(F.col(c)).alias(f"{c}__distinct")]
+        dist = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), dist.alias(f"{c}__distinct")]
     one = df.agg(*aggs)
     types = dict(df.dtypes)
     rows = [F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),

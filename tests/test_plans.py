@@ -43,3 +43,14 @@ def test_lexicon_join_is_broadcast(spark):
 def test_fuzzy_join_is_equi_join(spark):
     p = plan_of(QUERIES["match_fuzzy"](spark, SMALL))
     assert "SortMergeJoin" in p or "BroadcastHashJoin" in p or "ShuffledHashJoin" in p
+
+
+def test_per_phrase_cap_limits_map_side(spark):
+    p = plan_of(QUERIES["per_phrase_cap"](spark, SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_report_numbering_has_no_global_window(spark):
+    p = plan_of(QUERIES["ranked_report_lines"](spark, SMALL))
+    # the only windows run over the per-range count table, partitioned by range or label
+    assert "SinglePartition" not in p or "Window" not in p.split("SinglePartition")[0][-200:]
