@@ -42,7 +42,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """Use the cluster's ``spark.checkpoint.dir``; only set ``fallback`` where it is unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext handle (e.g. Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

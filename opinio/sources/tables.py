@@ -46,8 +46,12 @@ def spread(df: DataFrame) -> DataFrame:
     that Spark infers from costly expressions (e.g. ``size(regex…) > 0`` before an explode)
     would otherwise be pushed back below the exchange into the single scan task.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API (e.g. Spark Connect): leave the scan as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
 

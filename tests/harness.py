@@ -76,7 +76,9 @@ if __name__ == "__main__":
     sf_dir = "/root/testdata/sf0.01"
     names = sys.argv[1:]
     entry = importlib.import_module("__spark_entry__")
-    spark = local_session(checkpoint_dir=tempfile.mkdtemp(prefix="ckpt-", dir="/tmp"))
+    import os
+    no_ckpt = os.environ.get("HARNESS_NO_CHECKPOINT") == "1"
+    spark = local_session(checkpoint_dir=None if no_ckpt else tempfile.mkdtemp(prefix="ckpt-", dir="/tmp"))
     con = duck(sf_dir)
     qs, os_ = entry.queries(), entry.oracle_sql()
     bad = 0
