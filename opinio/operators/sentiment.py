@@ -102,7 +102,7 @@ def ranked_report_lines(scores: DataFrame, titles: DataFrame) -> DataFrame:
     entries = ranks.select(sec.alias("section"), F.col("rank"),
                            F.concat(F.col("rank").cast("string"), F.lit(". "), F.col("title"),
                                     F.lit(" (得分: "), F.col("score").cast("string"), F.lit(")")).alias("line"))
-    counts = class_counts_wide(scores)
+    counts = class_counts_wide(ranks)   # same rows as the scores, already materialised by the ranking
     # Report headings (section, rank, text; "%d" takes a count column).
     heads = [
         (0, 1, "情感分析详细结果", None), (0, 2, "==============", None), (0, 3, "汇总统计:", None),
