@@ -377,25 +377,33 @@ uhits AS (SELECT url, phrase_seq, doc_id, title FROM (
 def context_scores_sql() -> str:
     from .operators import sentiment as V
     negs = "(" + ", ".join(q(w) for w in V.NEGATORS) + ")"
-    bcase = lambda x: "CASE " + " ".join(f"WHEN {x} = {q(k)} THEN CAST({v} AS DECIMAL(6,3))" for k, v in V.BOOSTERS) + \
-        " ELSE CAST(0 AS DECIMAL(6,3)) END"
+    caps_at = lambda k: (f"(CASE WHEN {k} >= 1 THEN coalesce(raw[{k}] = upper(raw[{k}]) AND raw[{k}] <> lower(raw[{k}]), false) "
+                         f"ELSE false END AND cap_diff)")
+    bval = lambda x: "CASE " + " ".join(f"WHEN {x} = {q(k)} THEN CAST({v} AS DECIMAL(6,3))" for k, v in V.BOOSTERS) + " END"
+    bcase = lambda x, k: (f"coalesce(CASE WHEN ({bval(x)}) IS NOT NULL AND {caps_at(k)} THEN ({bval(x)}) + {V.CAPS_INCREMENT} "
+                          f"ELSE ({bval(x)}) END, CAST(0 AS DECIMAL(6,3)))")
     prev = lambda j: f"(CASE WHEN i - {j} >= 1 THEN toks[i - {j}] END)"
     neg = " OR ".join(f"coalesce({prev(j)} IN {negs}, false)" for j in (1, 2, 3))
-    boost = " + ".join(f"{bcase(prev(j))} * {d}" for j, d in zip((1, 2, 3), V.BOOST_DAMPING))
+    boost = " + ".join(f"{bcase(prev(j), f'i - {j}')} * {d}" for j, d in zip((1, 2, 3), V.BOOST_DAMPING))
     fb = " ".join(f"coalesce(list_position(toks, {q(w)}), 0)" for w in V.BUT_WORDS[:1])
+    raw = (f"list_filter(regexp_split_to_array(regexp_replace(body, {q(PUNCT)}, '', 'g'), {q(WS + '+')}), "
+           f"lambda t: length(t) > 1 AND NOT regexp_matches(t, {q(T.DIGITS_ONLY.replace(chr(92) + 'z', '$'))}))")
     ex = "(length(body) - length(replace(body, '!', '')))"
     qm = "(length(body) - length(replace(body, '?', '')))"
     emph = (f"CAST(least({ex}, {V.EXCLAIM_MAX}) * {V.EXCLAIM_STEP} + CASE WHEN {qm} <= 1 THEN 0 "
             f"WHEN {qm} <= {V.QUESTION_MAX_STEPS} THEN {qm} * {V.QUESTION_STEP} ELSE {V.QUESTION_CAP} END AS DECIMAL(8,4))")
-    ctx = (f"list_transform(toks, lambda t, i: {{'token': t, 'neg': ({neg}), "
+    ctx = (f"list_transform(toks, lambda t, i: {{'token': t, 'neg': ({neg}), 'caps': {caps_at('i')}, "
            f"'boost': CAST({boost} AS DECIMAL(8,4)), "
            f"'but': CAST(CASE WHEN fb = 0 THEN 1 WHEN i < fb THEN {V.BUT_BEFORE} WHEN i > fb THEN {V.BUT_AFTER} ELSE 1 END AS DECIMAL(3,2))}})")
     return f"""{BODY_CTE.replace('body AS (', 'body AS (', 1)},
-pre AS (SELECT doc_id, {emph} AS emph, {tokens('body')} AS toks FROM body),
-pre2 AS (SELECT doc_id, emph, toks, {fb} AS fb FROM pre),
-cx AS (SELECT doc_id, emph, unnest(CASE WHEN len(toks) = 0 THEN [NULL] ELSE {ctx} END) AS c FROM pre2),
+pre AS (SELECT doc_id, {emph} AS emph, {tokens('body')} AS toks, {raw} AS raw FROM body),
+pre2 AS (SELECT doc_id, emph, toks, raw, {fb} AS fb,
+                len(list_filter(raw, lambda x: x = upper(x) AND x <> lower(x))) AS ncaps FROM pre),
+pre3 AS (SELECT *, (ncaps > 0 AND ncaps < len(raw)) AS cap_diff FROM pre2),
+cx AS (SELECT doc_id, emph, unnest(CASE WHEN len(toks) = 0 THEN [NULL] ELSE {ctx} END) AS c FROM pre3),
 lex AS (SELECT * FROM {_lex_values()}),
-hits AS (SELECT doc_id, emph, c.neg AS neg, c.boost AS boost, c.but AS but, lex.valence AS v
+hits AS (SELECT doc_id, emph, c.neg AS neg, c.boost + CASE WHEN c.caps THEN {V.CAPS_INCREMENT} ELSE 0 END AS boost,
+                c.but AS but, lex.valence AS v
          FROM cx LEFT JOIN lex ON c.token = lex.token),
 adj AS (SELECT doc_id, emph, v,
           (CASE WHEN neg THEN (v + CASE WHEN v <> 0 THEN CASE WHEN v < 0 THEN -boost ELSE boost END ELSE 0 END) * {V.NEGATION_SCALAR}

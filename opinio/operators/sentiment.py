@@ -153,6 +153,7 @@ NEGATION_SCALAR = Decimal("-0.74")
 BUT_BEFORE, BUT_AFTER = Decimal("0.5"), Decimal("1.5")
 EXCLAIM_STEP, EXCLAIM_MAX = Decimal("0.292"), 4
 QUESTION_STEP, QUESTION_MAX_STEPS, QUESTION_CAP = Decimal("0.18"), 3, Decimal("0.96")
+CAPS_INCREMENT = Decimal("0.733")
 # Fixture word lists for the driver prose (parameters; ordinary English words never occur).
 NEGATORS = ("not", "nicht", "no", "pas", "never")
 BOOSTERS = (("very", Decimal("0.293")), ("ly", Decimal("0.293")), ("ea", Decimal("-0.293")))
@@ -168,11 +169,28 @@ def first_position(toks: Column, words) -> Column:
     return pos
 
 
-def context_tokens(toks: Column, first_but: Column, negators=NEGATORS, boosters=BOOSTERS) -> Column:
-    """Per token: ``struct(token, neg, boost, but)`` computed in the row (array lambdas) —
-    a word's context is its own document's token array, so no window shuffle is needed.
-    ``toks`` and ``first_but`` must be plain columns of an earlier projection."""
+def raw_tokens(body: Column) -> Column:
+    """W1 without lower-casing: aligned with ``tokens`` position by position."""
+    parts = F.split(F.regexp_replace(body, T.PUNCT, ""), T.WS + "+")
+    return F.filter(parts, lambda x: (F.length(x) > 1) & ~x.rlike(T.DIGITS_ONLY))
+
+
+def is_caps(w: Column) -> Column:
+    """``str.isupper()``: has a cased character and no lower-case one."""
+    return (w == F.upper(w)) & (w != F.lower(w))
+
+
+def context_tokens(toks: Column, first_but: Column, raw: Column | None = None, cap_diff: Column | None = None,
+                   negators=NEGATORS, boosters=BOOSTERS) -> Column:
+    """Per token: ``struct(token, neg, boost, but, caps)`` computed in the row (array lambdas)
+    — a word's context is its own document's token array, so no window shuffle is needed.
+    ``toks``, ``first_but``, ``raw`` (original-case tokens) and ``cap_diff`` (the text mixes
+    all-caps and other words) must be plain columns of an earlier projection."""
     bmap = F.create_map(*[x for k, v in boosters for x in (F.lit(k), F.lit(v).cast("decimal(6,3)"))])
+    cdiff = F.coalesce(cap_diff, F.lit(False)) if cap_diff is not None else F.lit(False)
+
+    def caps_at(k):
+        return F.coalesce(is_caps(F.get(raw, k)), F.lit(False)) & cdiff if raw is not None else F.lit(False)
 
     def ctx(t, i):
         prev = [F.get(toks, i - j) for j in (1, 2, 3)]
@@ -181,12 +199,15 @@ def context_tokens(toks: Column, first_but: Column, negators=NEGATORS, boosters=
             c = F.coalesce(pv.isin(*negators), F.lit(False))
             neg = c if neg is None else (neg | c)
         boost = F.lit(Decimal("0")).cast("decimal(8,4)")
-        for pv, d in zip(prev, BOOST_DAMPING):
-            boost = boost + F.coalesce(F.try_element_at(bmap, pv), F.lit(Decimal("0"))) * F.lit(d)
+        for j, (pv, d) in enumerate(zip(prev, BOOST_DAMPING), start=1):
+            b = F.try_element_at(bmap, pv)
+            # an all-caps booster gains the caps increment (signed with the word's valence later)
+            b = F.when(b.isNotNull() & caps_at(i - j), b + F.lit(CAPS_INCREMENT)).otherwise(b)
+            boost = boost + F.coalesce(b, F.lit(Decimal("0"))) * F.lit(d)
         but = (F.when(first_but == 0, F.lit(Decimal("1"))).when(i + 1 < first_but, F.lit(BUT_BEFORE))
                .when(i + 1 > first_but, F.lit(BUT_AFTER)).otherwise(F.lit(Decimal("1"))))
         return F.struct(t.alias("token"), neg.alias("neg"), boost.cast("decimal(8,4)").alias("boost"),
-                        but.cast("decimal(3,2)").alias("but"))
+                        but.cast("decimal(3,2)").alias("but"), caps_at(i).alias("caps"))
 
     return F.transform(toks, ctx)
 
@@ -203,17 +224,21 @@ def punctuation_emphasis(body: Column) -> Column:
 
 def lexicon_scores_context(docs: DataFrame, lexicon: DataFrame, body_col: str = "body",
                            id_col: str = "doc_id") -> DataFrame:
-    """V2: V1 with negation (3 words back), damped boosters, "but" weights and punctuation
-    emphasis; exact decimal arithmetic, one conversion to double for the normaliser."""
+    """V2: V1 with all-caps emphasis, negation (3 words back), damped boosters, "but" weights
+    and punctuation emphasis; exact decimal arithmetic, one conversion to double at the end."""
     lex = bounded_broadcast(lexicon.select("token", F.col("valence").cast("decimal(4,2)").alias("valence")))
     body = F.col(body_col)
     pre = docs.select(F.col(id_col).alias("doc_id"), punctuation_emphasis(body).alias("emph"),
-                      T.tokens(body).alias("toks"))
-    pre = pre.select("*", first_position(F.col("toks"), BUT_WORDS).alias("first_but"))
-    rows = pre.select("doc_id", "emph", F.explode_outer(context_tokens(F.col("toks"), F.col("first_but"))).alias("c"))
+                      T.tokens(body).alias("toks"), raw_tokens(body).alias("raw"))
+    n_caps = F.size(F.filter("raw", is_caps))
+    pre = pre.select("*", first_position(F.col("toks"), BUT_WORDS).alias("first_but"),
+                     ((n_caps > 0) & (n_caps < F.size("raw"))).alias("cap_diff"))
+    rows = pre.select("doc_id", "emph", F.explode_outer(
+        context_tokens(F.col("toks"), F.col("first_but"), F.col("raw"), F.col("cap_diff"))).alias("c"))
     hits = rows.select("doc_id", "emph", "c.*").join(lex, "token", "left")
     v = F.col("valence")
-    signed_boost = F.when(v < 0, -F.col("boost")).otherwise(F.col("boost"))
+    caps = F.when(F.col("caps"), F.lit(CAPS_INCREMENT)).otherwise(F.lit(Decimal("0")))
+    signed_boost = F.when(v < 0, -(F.col("boost") + caps)).otherwise(F.col("boost") + caps)
     adj = (v + F.when(v != 0, signed_boost).otherwise(F.lit(0)))
     adj = F.when(F.col("neg"), adj * F.lit(NEGATION_SCALAR)).otherwise(adj) * F.col("but")
     agg = hits.groupBy("doc_id").agg(

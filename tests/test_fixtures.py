@@ -253,3 +253,18 @@ def test_percent_text_rounding(spark):
     df = spark.createDataFrame([(176115, 10000000), (1, 3), (2, 3)], "c long, t long")
     got = [r["p"] for r in df.select(N.percent_text(F.col("c"), F.col("t")).alias("p")).collect()]
     assert got == ["1.7612%", "33.3333%", "66.6667%"]
+
+
+def test_v2_context_rules(spark):
+    from opinio.operators import sentiment as V
+    from opinio.sources.lexicon import lexicon_from_pairs
+    lex = lexicon_from_pairs(spark, (("good", "2.0"),))
+    docs = spark.createDataFrame([(1, "this is GOOD stuff"), (2, "not good at all"), (3, "very good"),
+                                  (4, "good but good"), (5, "good!!"), (6, "GOOD")], "doc_id long, body string")
+    got = {r["doc_id"]: float(r["valence_sum"]) for r in V.lexicon_scores_context(docs, lex).collect()}
+    assert got[1] == 2.733                      # caps emphasis (text mixes caps and other words)
+    assert got[2] == -1.48                      # negation within three words
+    assert got[3] == 2.293                      # booster one word back
+    assert got[4] == 4.0                        # 0.5 before "but", 1.5 after
+    assert abs(got[5] - 2.584) < 1e-9           # two exclamation marks
+    assert got[6] == 2.0                        # all words in caps: no caps differential
