@@ -900,3 +900,12 @@ def q_load_corpus(spark, sf):
     scanned = r.select("doc_id", F.col("file_name").alias("file_path"), UR.loader_title(F.col("file_name")).alias("title"),
                        TX.ustrip(F.col("article")).alias("content"), F.lit("text").alias("type"))
     return SK.to_corpus(scanned, LOAD_SOURCE, LOAD_MEDIA, id_col="doc_id")
+
+
+@register("load_sentiment_matched", f"""
+WITH {D.REPORT_CTE}, {D.ARTICLES_CTE}, {D.BEST_CTE},
+b AS (SELECT best.a_id, CASE WHEN p = 0 THEN 'exact' ELSE 'fuzzy' END AS how, d.score FROM best JOIN dedup d ON best.r_seq = d.seq)
+SELECT a_id AS corpus_id, {D.label_loaded('score')} AS sentiment, CAST(score AS DECIMAL(3,2)) AS sentiment_score,
+       {D.rates_sql('score')}, how FROM b""")
+def q_load_sentiment_matched(spark, sf):
+    return M.sentiment_from_matches(M.match_best(MD.articles(spark, sf), MD.report_dedup(spark, sf)))

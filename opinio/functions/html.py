@@ -183,3 +183,38 @@ def videos(container: Column) -> Column:
         F.nullif(F.regexp_extract(b, "(<iframe\\b[^>]*>)", 1), F.lit(""))))
     tags = F.concat(vids, ifr, F.filter(inner, lambda x: x.isNotNull()))
     return F.filter(F.transform(tags, lambda t: F.struct(attr(t, "src").alias("src"))), lambda v: v["src"] != "")
+
+
+# Result-block containers of the search page, tried in order, and the title
+# element cascade inside a block.
+RESULT_BLOCK_CLASSES = ("ssrcss-1v7bxtk-StyledContainer", "ssrcss-1qt4x4l-PromoContent", "PromoContent")
+RESULT_TITLE_SPAN_CLASS = "promo-heading__title"
+
+
+def _blocks(html: Column, cls: str) -> Column:
+    pat = f"(?s)<div\\b[^>]*class=\"(?:[^\"]*\\s)?{cls}(?:\\s[^\"]*)?\"[^>]*>(.*?)</div>"
+    return F.regexp_extract_all(html, F.lit(pat), F.lit(1))
+
+
+def result_blocks(html: Column) -> Column:
+    """The result blocks of a search page (first container class that has any)."""
+    out = None
+    for cls in RESULT_BLOCK_CLASSES:
+        b = _blocks(html, cls)
+        out = F.when(F.size(b) > 0, b) if out is None else out.when(F.size(b) > 0, b)
+    return out.otherwise(F.array().cast("array<string>"))
+
+
+def result_hits(html: Column) -> Column:
+    """array<struct<href, title>> — first link of each block (blocks without a link or
+    href are skipped); title from h3, else h2, else the heading span, else "No Title"."""
+    def hit(b):
+        a_tag = F.regexp_extract(b, "(<a\\b[^>]*>)", 1)
+        href = attr(a_tag, "href")
+        t = F.coalesce(F.when(has_element(b, "h3"), text_of(element_inner(b, "h3"))),
+                       F.when(has_element(b, "h2"), text_of(element_inner(b, "h2"))),
+                       F.when(has_element(b, "span", RESULT_TITLE_SPAN_CLASS),
+                              text_of(element_inner(b, "span", RESULT_TITLE_SPAN_CLASS))),
+                       F.lit(NO_TITLE))
+        return F.struct(href.alias("href"), t.alias("title"))
+    return F.filter(F.transform(result_blocks(html), hit), lambda h: h["href"] != "")

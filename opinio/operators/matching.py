@@ -178,3 +178,12 @@ def match_best(articles: DataFrame, report_dedup: DataFrame) -> DataFrame:
 def unmatched(articles: DataFrame, best: DataFrame) -> DataFrame:
     """Articles that got no sentiment match."""
     return articles.select("a_id", "a_title").join(best.select("a_id"), "a_id", "left_anti")
+
+
+def sentiment_from_matches(best: DataFrame) -> DataFrame:
+    """K2 as the loader does it: each matched article gets a sentiment row from its report
+    entry — V4 label and F11 rates on the score read back from the report."""
+    from ..functions import sentiment as SF
+    s = F.col("score")
+    return best.select(F.col("a_id").alias("corpus_id"), SF.label_loaded(s).alias("sentiment"),
+                       s.cast("decimal(3,2)").alias("sentiment_score"), *SF.rates(s), "how")

@@ -115,3 +115,11 @@ def untitled_names(parsed: DataFrame, order_cols) -> DataFrame:
     name = F.concat(F.lit(UNTITLED.split("{n}")[0]), F.col("n").cast("string"))
     return r.select("page_id", "url", "n", name.alias("title"),
                     U.article_filename(F.col("url"), name).alias("file_name"))
+
+
+def search_page_hits(result_pages: DataFrame, base: str | None = None) -> DataFrame:
+    """C2 + C1: hits ``(page_id, pos, url, title)`` from landed search-result pages; relative
+    links resolve against ``base`` (the site) or the result page's own scheme://host."""
+    p = result_pages.select("page_id", "url", F.posexplode(H.result_hits(H.clean_html(F.col("html")))).alias("pos", "h"))
+    b = F.lit(base) if base else H.base_of(F.col("url"))
+    return p.select("page_id", "pos", U.absolutize(F.col("h.href"), b).alias("url"), F.col("h.title").alias("title"))

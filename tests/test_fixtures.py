@@ -268,3 +268,16 @@ def test_v2_context_rules(spark):
     assert got[4] == 4.0                        # 0.5 before "but", 1.5 after
     assert abs(got[5] - 2.584) < 1e-9           # two exclamation marks
     assert got[6] == 2.0                        # all words in caps: no caps differential
+
+
+def test_c2_search_result_blocks(spark):
+    from opinio.operators import pages as P
+    html = ('<div class="ssrcss-1v7bxtk-StyledContainer x"><a href="/news/a">A</a><h3> First </h3></div>'
+            '<div class="ssrcss-1v7bxtk-StyledContainer"><span>no link here</span></div>'
+            '<div class="ssrcss-1v7bxtk-StyledContainer"><a href="//cdn.example/b">B</a><span class="promo-heading__title">Span T</span></div>'
+            '<div class="ssrcss-1v7bxtk-StyledContainer"><a href="https://h/c">C</a></div>'
+            '<div class="PromoContent"><a href="/ignored">later cascade step</a></div>')
+    pages = spark.createDataFrame([(1, "https://search.example/q", html)], "page_id long, url string, html string")
+    got = [(r["url"], r["title"]) for r in P.search_page_hits(pages, "https://www.site.example").orderBy("pos").collect()]
+    assert got == [("https://www.site.example/news/a", "First"), ("https://cdn.example/b", "Span T"),
+                   ("https://h/c", "No Title")]
