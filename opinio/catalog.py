@@ -578,6 +578,7 @@ def q_sentiment_details(spark, sf):
 # Page ingest over the landed pages table
 # ----------------------------------------------------------------------------------------
 
+from .functions import html as HT  # noqa: E402
 from .operators import pages as P  # noqa: E402
 
 
@@ -615,7 +616,7 @@ def q_page_rejects(spark, sf):
 
 
 _LINKS_SQL = f"""
-WITH pc AS (SELECT page_id, url, regexp_replace(html, {D.q(__import__('opinio.functions.html', fromlist=['x']).NOISE)}, '', 'g') AS clean FROM pages),
+WITH pc AS (SELECT page_id, url, regexp_replace(html, {D.q(HT.NOISE)}, '', 'g') AS clean FROM pages),
 a AS (SELECT page_id, url, regexp_extract_all(clean, {D.q('(?s)<a' + chr(92) + 'b[^>]*href="[^"]*"[^>]*>.*?</a>')}, 0) AS anchors FROM pc),
 e AS (SELECT page_id, url, CAST(unnest(range(len(anchors))) AS INTEGER) AS pos, unnest(anchors) AS anc FROM a),
 f AS (SELECT page_id, url, pos, regexp_extract(anc, 'href="([^"]*)"', 1) AS href,

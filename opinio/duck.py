@@ -395,7 +395,7 @@ def context_scores_sql() -> str:
     ctx = (f"list_transform(toks, lambda t, i: {{'token': t, 'neg': ({neg}), 'caps': {caps_at('i')}, "
            f"'boost': CAST({boost} AS DECIMAL(8,4)), "
            f"'but': CAST(CASE WHEN fb = 0 THEN 1 WHEN i < fb THEN {V.BUT_BEFORE} WHEN i > fb THEN {V.BUT_AFTER} ELSE 1 END AS DECIMAL(3,2))}})")
-    return f"""{BODY_CTE.replace('body AS (', 'body AS (', 1)},
+    return f"""{BODY_CTE},
 pre AS (SELECT doc_id, {emph} AS emph, {tokens('body')} AS toks, {raw} AS raw FROM body),
 pre2 AS (SELECT doc_id, emph, toks, raw, {fb} AS fb,
                 len(list_filter(raw, lambda x: x = upper(x) AND x <> lower(x))) AS ncaps FROM pre),
