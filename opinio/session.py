@@ -15,8 +15,6 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Partial aggregation absorbs hot words; keep it on even when it looks unhelpful.
-    "spark.sql.aggregate.partialAggregate.skipping.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
