@@ -76,9 +76,6 @@ def details(scores: DataFrame, names: DataFrame) -> DataFrame:
 
 # ------------------------------------- reports -----------------------------------------
 
-SECTION_ORDER = {"positive": 1, "negative": 2, "neutral": 3}
-
-
 def report_ranks(scores: DataFrame, titles: DataFrame) -> DataFrame:
     """N1 + L1-L3: rank inside each class; positive by score desc, negative by score asc,
     neutral by |score| asc; ties by title then id (the reference leaves them open)."""

@@ -20,8 +20,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked, not assumed)."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def broadcast_small_literal(df: DataFrame) -> DataFrame:
-    """Broadcast a side that is built from a literal parameter list (size known on the driver)."""
-    return F.broadcast(df)

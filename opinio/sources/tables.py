@@ -16,7 +16,6 @@ from ..functions import text as T
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-TYPE_NAMES = ("text", "image", "video")
 # Adapter constants for the driver data (see README: corpus adapter).
 ADAPTER_BASE_DATE = "2024-01-01"
 ADAPTER_DAYS = 365
