@@ -37,7 +37,7 @@ TEMPERATURE = 4.0
 #: Counted per document, with the count it is a share of.
 COUNTS = {"upper": "chars", "digit": "chars", "space": "chars", "stop": "chars", "comma": "chars", "bang": "chars",
           "pipe": "chars", "symbol": "chars", "high": "chars", "control": "chars", "repeated": "words",
-          "distinct": "words", "common": "words", "ended": "words", "short_lines": "lines", "copied_lines": "lines"}
+          "common": "words", "ended": "words", "copied_lines": "lines"}
 BASES = ("chars", "words", "lines")
 NAMES = [*BASES, *COUNTS]
 
@@ -65,8 +65,8 @@ def statistics(data: bytes | None) -> list[float]:
     lines = [x for x in data.split(b"\n") if x.strip()]
     ended = sum(1 for w in often if not (w[-1:].isalnum() or w[-1] >= 128) for _ in range(often[w]))
     return [float(len(data)), float(len(found)), float(len(lines)), *kinds[:10].tolist(),
-            float(sum(map(eq, found, found[1:]))), float(len(often)), float(max(often.values(), default=0)), float(ended),
-            float(sum(1 for x in lines if len(x) < 20)), float(len(lines) - len(set(lines)))]
+            float(sum(map(eq, found, found[1:]))), float(max(often.values(), default=0)), float(ended),
+            float(len(lines) - len(set(lines)))]
 
 
 @dataclasses.dataclass
@@ -91,12 +91,9 @@ class Model:
 def features(counts: np.ndarray, rates: np.ndarray) -> np.ndarray:
     """Smoothed, variance-stabilised rates."""
     cols = []
-    for k, (name, base) in enumerate(COUNTS.items()):
+    for k, base in enumerate(COUNTS.values()):
         n, m = counts[:, BASES.index(base)], SMOOTH[base]
         got = counts[:, 3 + k]
-        if name == "distinct":  # long texts repeat words: compare with the square root law
-            n = np.sqrt(n) * 10
-            got = np.minimum(got, n)
         cols.append(np.arcsin(np.sqrt(np.clip((got + m * rates[k]) / (n + m), 0, 1))))
     return np.column_stack(cols)
 
@@ -120,7 +117,6 @@ def fit(counted: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
     good = train.where("_y = 1").agg(*[F.avg(
         F.col("counts")[3 + k] / F.greatest(F.col("counts")[base[COUNTS[n]]], F.lit(1.0))).alias(n) for k, n in enumerate(names)]).first()
     rates = np.array([good[n] if good[n] is not None else 0.0 for n in names])
-    rates[names.index("distinct")] = min(1.0, rates[names.index("distinct")])
     per_class = _moments(train, rates, d)
     total = sum(n for n, _, _ in per_class.values())
     share = per_class[1][0] / total if 1 in per_class else 0.0 if total else 0.5
