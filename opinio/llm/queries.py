@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, quality
+from . import decontaminate, packing, quality, secrets
 
 LLM_QUERIES = {
+    "op1_secret_scan": secrets.op1_secret_scan,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op6_quality_classifier": quality.op6_quality_classifier,
+    "op7_sequence_packing": packing.op7_sequence_packing,
 }
 
 LLM_ORACLE = {
