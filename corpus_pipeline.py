@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinio.llm import decontaminate, quality
+import public_tokenizers
+
+from opinio.llm import decontaminate, ngram_join, packing, quality, secrets
 from opinio.llm.common import materialise, table
 
 
@@ -23,7 +25,23 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality", good_quality), ("decontaminate", uncontaminated)]
+def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies (and every text without words)."""
+    return ngram_join.deduplicate(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps all documents; the secrets in their texts are replaced and ``n_chars`` renewed."""
+    return secrets.redact(docs, secrets.infer(materialise(secrets.scan(docs), "secrets")))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality", good_quality), ("near_duplicates", distinct_texts), ("decontaminate", uncontaminated),
+          ("secrets", without_secrets), ("packing", packed)]
 
 #: A fitted classifier and inferred grammars decide: SQL cannot express that.
 ORACLE_SQL = None

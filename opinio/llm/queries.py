@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, quality, secrets
+from . import decontaminate, ngram_join, packing, quality, secrets
 
 LLM_QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
+    "op5_ngram_jaccard_join": ngram_join.op5_ngram_jaccard_join,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_sequence_packing": packing.op7_sequence_packing,
 }
 
 LLM_ORACLE = {
     "op4_benchmark_decontamination": decontaminate.OP4_ORACLE,
+    "op5_ngram_jaccard_join": ngram_join.OP5_ORACLE,
 }
