@@ -14,6 +14,21 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 
+class Forest(dict):
+    """Union-find over the few nodes of one unit of work."""
+
+    def root(self, x):
+        while self.setdefault(x, x) != x:
+            self[x] = self[self[x]]
+            x = self[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self[max(a, b)] = min(a, b)
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``component`` (its least node) of every node with a link; nulls don't link."""
     pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, materialise, table, words
-from .components import components
+from .components import Forest, components
 
 N, SIMILARITY, RECALL = 5, (4, 5), 0.9995
 #: Entries in a block of a cluster; columns of an incidence matrix at a time.
@@ -129,19 +129,6 @@ def clusters(entries: DataFrame) -> DataFrame:
     return components(placed.join(shared, "bucket").select(F.col("_row").alias("a"), F.col("least").alias("b")))
 
 
-class _Forest(dict):
-    def root(self, x):
-        while self.setdefault(x, x) != x:
-            self[x] = self[self[x]]
-            x = self[x]
-        return x
-
-    def join(self, a, b):
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self[max(a, b)] = min(a, b)
-
-
 def overlaps(sets: list[np.ndarray], columns: int = COLUMNS) -> np.ndarray:
     """Sizes of all pairwise intersections."""
     size = np.zeros((len(sets), len(sets)), dtype=np.float32)
@@ -176,7 +163,7 @@ def verify_unit(unit: list[dict], n: int, numbers: dict, similarity: tuple[int,
     first, second = unit[0]["_first"], unit[0]["_second"]
     if first != second:  # pairs inside one block belong to the block's own unit
         linked &= block[:, None] != block[None, :]
-    forest = _Forest()
+    forest = Forest()
     counts = np.zeros(len(once), dtype=np.int64)
     for i in np.flatnonzero(linked.any(1)):
         near = np.flatnonzero(linked[i])
