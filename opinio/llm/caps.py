@@ -10,9 +10,10 @@
    entries on average; alpha is the largest that reaches the target recall at the threshold,
    measured on simulated pairs of exactly that cosine with the same code.
 3. Entries join on filters. Filters with one entry go; a filter with many entries is dealt into
-   blocks of ``BLOCK`` and every pair of blocks is a unit of work. A pair is verified in the
-   least filter that both share, by its double-precision cosine. A unit returns counts and a
-   spanning forest of its links, never the pairs.
+   blocks of ``BLOCK`` and every pair of blocks is a unit of work. A pair whose
+   double-precision cosine reaches the threshold counts in the least filter that both share
+   (linked vectors are decoded again for that). A unit returns counts and a spanning forest of
+   its links, never the pairs.
 4. Components of the links are found on Spark.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link
@@ -24,8 +25,6 @@ cosine; tests compare with brute force.
 
 from __future__ import annotations
 
-from itertools import groupby
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +33,9 @@ from pyspark.sql import functions as F
 from .common import map_batches, materialise, table
 from .components import Forest, components
 
-THRESHOLD, RECALL = 0.9, 0.99
-PARTS, SEED = 4, 20240611
+THRESHOLD, RECALL = 0.9, 0.96
+#: Blocks of the code (two keep the filters close to independent) and filters per entry.
+PARTS, FILTERS, SEED = 2, 128, 20240611
 #: Entries of a filter in a block; simulated pairs.
 BLOCK, PAIRS = 512, 600
 
@@ -46,7 +46,7 @@ class Caps:
     def __init__(self, dim: int, entries: int, threshold: float = THRESHOLD, recall: float = RECALL):
         rng = np.random.default_rng(SEED + dim)
         self.parts = min(PARTS, dim)
-        self.words = max(8, int(np.ceil((32.0 * max(entries, 1)) ** (1 / self.parts))))
+        self.words = max(8, int(np.ceil((float(FILTERS) * max(entries, 1)) ** (1 / self.parts))))
         self.turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.cuts = np.array_split(np.arange(dim), self.parts)
         self.code = [c / np.linalg.norm(c, axis=1, keepdims=True) for c in (rng.normal(size=(self.words, len(k))) for k in self.cuts)]
@@ -105,33 +105,64 @@ def unit_vector(values: list | None) -> np.ndarray | None:
     return x / np.sqrt((x * x).sum())
 
 
-def verify_unit(unit: list[dict], threshold: float) -> list[tuple[int, int, int]]:
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows at length 1, as ``unit_vector`` scales them."""
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+def verify_unit(x: np.ndarray, rows: np.ndarray, copies: np.ndarray, own: np.ndarray, split: bool,
+                mine: int, caps: Caps, threshold: float) -> list[tuple[int, int, int]]:
     """(entry, linked copies found here, a node it reaches through links found here)."""
-    once = list({e["_row"]: e for e in unit}.values())
-    x = np.array([unit_vector(e["_vector"]) for e in once])
-    rows = np.array([e["_row"] for e in once])
-    block = np.array([e["_own"] for e in once])
-    copies = np.array([e["_copies"] for e in once])
-    mine = unit[0]["_filter"]
     linked = x @ x.T >= threshold
     np.fill_diagonal(linked, False)
-    if unit[0]["_first"] != unit[0]["_second"]:
-        linked &= block[:, None] != block[None, :]
-    forest, counts = Forest(), np.zeros(len(once), dtype=np.int64)
-    if linked.any():
-        # a pair counts in its least common filter: drop pairs that share a smaller one
-        smaller = [np.array([f for f in e["_filters"] if f < mine], dtype=np.int64) for e in once]
-        names, number = np.unique(np.concatenate([*smaller, np.empty(0, np.int64)]), return_inverse=True)
-        member = np.zeros((len(once), max(1, len(names))), dtype=np.float32)
-        member[np.repeat(np.arange(len(once)), [len(s) for s in smaller]), number] = 1
-        linked &= member @ member.T == 0
-        counts = linked @ copies
-        for i in np.flatnonzero(counts):
-            for j in np.flatnonzero(linked[i, :i]):
-                forest.join(int(rows[i]), int(rows[j]))
+    if split:  # pairs inside one block belong to the block's own unit
+        linked &= own[:, None] != own[None, :]
+    some = np.flatnonzero(linked.any(1))
+    if not len(some):
+        return []
+    linked, rows, copies = linked[np.ix_(some, some)], rows[some], copies[some]
+    # a pair counts in its least common filter: drop pairs that share a smaller one
+    smaller = [f[f < mine] for f in map(caps.decode, x[some])]
+    names, number = np.unique(np.concatenate(smaller), return_inverse=True)
+    member = np.zeros((len(some), max(1, len(names))), dtype=np.float32)
+    member[np.repeat(np.arange(len(some)), [len(f) for f in smaller]), number] = 1
+    linked &= member @ member.T == 0
+    counts, forest = linked @ copies, Forest()
+    for i in np.flatnonzero(counts):
+        for j in np.flatnonzero(linked[i, :i]):
+            forest.join(int(rows[i]), int(rows[j]))
     return [(int(rows[i]), int(counts[i]), forest.root(int(rows[i]))) for i in np.flatnonzero(counts)]
 
 
+def verify_units(units: pa.Table, caps: dict[int, Caps], threshold: float) -> list[tuple[int, int, int]]:
+    """All whole units of a sorted table. Small units are first tested together for any link."""
+    found: list[tuple[int, int, int]] = []
+    col = {c: units.column(c).to_numpy() for c in ("_dim", "_filter", "_first", "_second", "_row", "_own", "_copies")}
+    flat = units.column("_vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    starts = np.concatenate([[0], np.cumsum(col["_dim"])])
+    for d in np.unique(col["_dim"]):
+        at = np.flatnonzero(col["_dim"] == d)
+        x = unit_rows(flat[starts[at[0]]:starts[at[-1] + 1]].reshape(len(at), d))
+        k = {c: v[at] for c, v in col.items()}
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (np.diff(k["_filter"]) != 0) | (np.diff(k["_first"]) != 0) | (np.diff(k["_second"]) != 0)
+        unit = np.cumsum(new) - 1
+        size = np.bincount(unit)
+        promising = size > 8
+        for shift in range(1, 8):
+            i = np.flatnonzero(unit[:-shift] == unit[shift:])
+            i = i[size[unit[i]] <= 8]
+            near = np.einsum("ij,ij->i", x[i], x[i + shift]) >= threshold - 1e-9
+            promising[unit[i[near]]] = True
+        begin = np.flatnonzero(new)
+        for u in np.flatnonzero(promising):
+            w = slice(begin[u], begin[u] + size[u])
+            found += verify_unit(x[w], k["_row"][w], k["_copies"][w], k["_own"][w], k["_first"][w.start] != k["_second"][w.start],
+                                 int(k["_filter"][w.start]), caps[int(d)], threshold)
+    return found
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                  threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """One row per vector: ``id_col``, ``n_links``, ``component_id``, ``kept``."""
@@ -152,36 +183,37 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     def of(b):
         xs = [unit_vector(v) for v in b.column("_vector").to_pylist()]
-        return {"_row": b.column("_row"), "_filters": [caps[len(x)].decode(x).tolist() for x in xs],
-                "_dim": [len(x) for x in xs]}
-    spread = entries.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_row")
-    decoded = materialise(map_batches(spread.select("_row", "_vector"), of, "_row long, _filters array<long>, _dim int"), "filters")
-    placed = decoded.select("_row", "_dim", F.explode("_filters").alias("_filter"))
+        return {"_row": b.column("_row"), "_dim": [len(x) for x in xs], "_filters": [caps[len(x)].decode(x).tolist() for x in xs]}
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = entries.select("_row", "_vector").repartition(parts, "_row")
+    placed = materialise(map_batches(spread, of, "_row long, _dim int, _filters array<long>")
+                         .select("_row", "_dim", F.explode("_filters").alias("_filter")), "filters")
     sizes = (placed.groupBy("_dim", "_filter").agg(F.count("*").alias("n")).where("n > 1")
              .select("_dim", "_filter", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("_blocks")))
     units = (placed.join(sizes, ["_dim", "_filter"])
              .withColumn("_own", F.pmod(F.xxhash64("_row"), F.col("_blocks")).cast("int"))
-             .join(decoded.select("_row", "_filters"), "_row")
-             .join(entries.select("_row", "_copies", "_vector"), "_row")
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
              .withColumn("_first", F.least("_own", "_other")).withColumn("_second", F.greatest("_own", "_other"))
-             .drop("_blocks", "_other"))
+             .drop("_blocks", "_other")
+             .join(entries.select("_row", "_copies", "_vector"), "_row"))
     key = ["_dim", "_filter", "_first", "_second"]
     arrow = pa.schema([("entry", pa.int64()), ("links", pa.int64()), ("near", pa.int64())])
 
     def run(batches):
-        rows = (r for b in batches for at in range(0, b.num_rows, 256) for r in b.slice(at, 256).to_pylist())
-        found: list[tuple[int, int, int]] = []
-        for _, unit in groupby(rows, key=lambda r: tuple(r[k] for k in key)):
-            unit = list(unit)
-            if len(unit) > 1:
-                found += verify_unit(unit, threshold)
-            if len(found) > 10_000:
+        held = None  # the rows of the last unit so far, which may go on in the next batch
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            last = {c: t.column(c)[-1].as_py() for c in key}
+            same = np.ones(t.num_rows, dtype=bool)
+            for c in key:
+                same &= t.column(c).to_numpy() == last[c]
+            cut = int(np.argmax(same))
+            held = t.slice(cut)
+            if cut and (found := verify_units(t.slice(0, cut), caps, threshold)):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=arrow)
-                found = []
-        if found:
+        if held is not None and (found := verify_units(held, caps, threshold)):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=arrow)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     verified = materialise(units.repartition(parts, *key).sortWithinPartitions(*key)
                            .mapInArrow(run, "entry long, links long, near long"), "verified")
     classes = components(verified.where("entry <> near").select(F.col("entry").alias("a"), F.col("near").alias("b")))
