@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import caps, decontaminate, ngram_join, packing, quality, secrets
+from . import caps, decontaminate, html_wrapper, ngram_join, packing, quality, secrets
 
 LLM_QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_ngram_jaccard_join": ngram_join.op5_ngram_jaccard_join,
+    "op9_html_extraction": html_wrapper.op9_html_extraction,
     "op10_embedding_near_dedup": caps.op10_embedding_near_dedup,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_sequence_packing": packing.op7_sequence_packing,
