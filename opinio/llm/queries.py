@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import caps, decontaminate, html_wrapper, ngram_join, packing, quality, secrets
+from . import caps, decontaminate, html_wrapper, licenses, ngram_join, packing, quality, secrets, token_counts, toxicity
 
 LLM_QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_license_scan": licenses.op3_license_scan,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_ngram_jaccard_join": ngram_join.op5_ngram_jaccard_join,
+    "op8_token_counts": token_counts.op8_token_counts,
     "op9_html_extraction": html_wrapper.op9_html_extraction,
     "op10_embedding_near_dedup": caps.op10_embedding_near_dedup,
     "op6_quality_classifier": quality.op6_quality_classifier,
