@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +33,27 @@ END_ID = 2
 #: Documents in a group, on average.
 GROUP = 4096
 #: Words whose ids a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable Latin-1 characters
+    stand for themselves, the other bytes for the characters from 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
+BYTE_LETTERS = byte_letters()
 
 
 class WordTokenizer:
     """Ids of whole texts by a ``tokenizers`` file.
 
-    Where a text has only ASCII and Latin-1 letters, its lower-case words are encoded one by
-    one and remembered: the file's normaliser and splitter do nothing else with such texts, and
-    words are merged independently. Any other text goes through the tokenizer as it is.
+    Where a text has only ASCII and Latin-1 letters, its lower-case words go through the file's
+    merges one by one and are remembered: the file's normaliser and splitter do nothing else with
+    such texts, and words are merged independently. Any other text goes through the tokenizer as
+    it is.
     """
 
     #: Characters whose NFC form, lower case and class are the same in every Unicode version.
@@ -51,22 +64,21 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[str, list[int]] = {}
 
     def _word(self, word: str) -> list[int]:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        ids = self.known[word] = self.tokenizer.encode(word, add_special_tokens=False).ids
+        spelt = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = self.known[word] = [t.id for t in self.model.tokenize(spelt)]
         return ids
 
     def encode(self, text: str) -> list[int]:
         if "<|" in text or not self.PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        get, extend = self.known.get, out.extend
-        for word in self.SPLIT.findall(text.lower()):
-            extend(get(word) or self._word(word))
-        return out
+        get = self.known.get
+        return list(chain.from_iterable([get(w) or self._word(w) for w in self.SPLIT.findall(text.lower())]))
 
 
 class Room:
