@@ -148,7 +148,7 @@ def test_base_secrets_equal_the_rules(spark):
 def test_inferred_grammar_finds_bare_credentials_and_spares_words(spark):
     r = random.Random(5)
     hexes = ["".join(r.choice("0123456789abcdef") for _ in range(18)) for _ in range(210)]
-    rows = [(i, f"some words here password={h} and more page12.example.com number{i}abc") for i, h in enumerate(hexes[:200])]
+    rows = [(i, f"some words here password={h} and more page{i * 7}.example.com at chapter{i}section.html") for i, h in enumerate(hexes[:200])]
     rows += [(300, f"it is {hexes[205]} there"), (301, "visit page77.example.com or call number55abcdefgh now"), (302, None)]
     got = {x["doc_id"]: [(s["kind"], s["value"]) for s in x["spans"]] for x in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[300] == [("format", hexes[205])] and got[301] == [] and got[302] == []
