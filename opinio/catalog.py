@@ -238,8 +238,9 @@ def q_sentiment_statistics(spark, sf):
 
 @register("media_activity", f"""
 WITH {D.CORPUS_CTE},
-per AS (SELECT media_name, source, strftime(publish_date, '%Y-%m') AS stat_month, count(*) AS article_count
-        FROM corpus GROUP BY media_name, source, strftime(publish_date, '%Y-%m')),
+src AS (SELECT media_name, source, strftime(publish_date, '%Y-%m') AS stat_month, count(*) AS n FROM corpus GROUP BY ALL),
+per AS (SELECT media_name, stat_month, CAST(sum(n) AS BIGINT) AS article_count,
+               arg_min(source, row(-n, source)) AS source FROM src GROUP BY media_name, stat_month),
 mx AS (SELECT stat_month, max(article_count) AS m FROM per GROUP BY stat_month)
 SELECT media_name, source, article_count,
        CAST(CAST(article_count * 100 AS DECIMAL(38,6)) / m AS DECIMAL(5,2)) AS activity_score, stat_month
@@ -337,7 +338,7 @@ incoming AS (SELECT keyword, 'all' AS source, DATE '2024-12-31' AS stat_date, co
 existing AS (
   WITH {D.top_words_cte(_CONV_BODY, name='otop').replace('words AS', 'words AS', 1)}
   SELECT trim(word) AS keyword, 'all' AS source, DATE '2024-12-31' AS stat_date,
-         TRY_CAST(trim(CAST(count AS VARCHAR)) AS INTEGER) AS count,
+         TRY_CAST(trim(CAST(count AS VARCHAR)) AS BIGINT) AS count,
          {D.heat_score('trim(percent)', 'count')} AS heat_score, TIMESTAMP '2024-12-31 00:00:00' AS t
   FROM otop WHERE trim(word) NOT IN ('', 'nan'))
 SELECT coalesce(i.keyword, e.keyword) AS keyword, coalesce(i.source, e.source) AS source,
@@ -362,20 +363,23 @@ def q_hot_keywords_upsert(spark, sf):
 WITH {D.BODY_CTE}, {D.WORDS_CTE},
 counts AS (SELECT word, count(*) AS count FROM words GROUP BY word),
 tot AS (SELECT CAST(sum(count) AS BIGINT) AS total_words FROM counts),
-sheet AS (SELECT word AS keyword, CAST(count AS VARCHAR) AS count, {D.percent_text('count', 'total_words')} AS freq
-          FROM counts, tot),
+sheet AS (SELECT CASE length(word) WHEN 2 THEN 'nan' WHEN 7 THEN repeat(word, 20) ELSE word END AS keyword,
+                 CASE WHEN length(word) = 4 THEN CAST(count AS VARCHAR) || 'x' ELSE CAST(count AS VARCHAR) END AS count,
+                 {D.percent_text('count', 'total_words')} AS freq FROM counts, tot),
 r AS (SELECT keyword, count, freq,
         CASE WHEN trim(keyword) IS NULL OR trim(keyword) IN ('', 'nan') THEN 'blank keyword'
              WHEN length(trim(keyword)) > 100 THEN 'keyword too long'
-             WHEN TRY_CAST(trim(count) AS INTEGER) IS NULL THEN 'count not an integer'
-             WHEN {D.heat_score('trim(freq)', 'TRY_CAST(trim(count) AS INTEGER)')} IS NULL THEN 'heat not a DECIMAL(5,2)'
-             WHEN {D.keyword_weight('trim(freq)', 'TRY_CAST(trim(count) AS INTEGER)')} IS NULL THEN 'weight not a DECIMAL(5,2)'
+             WHEN TRY_CAST(trim(count) AS BIGINT) IS NULL THEN 'count not an integer'
+             WHEN {D.heat_score('trim(freq)', 'TRY_CAST(trim(count) AS BIGINT)')} IS NULL THEN 'heat not a DECIMAL(5,2)'
+             WHEN {D.keyword_weight('trim(freq)', 'TRY_CAST(trim(count) AS BIGINT)')} IS NULL THEN 'weight not a DECIMAL(5,2)'
         END AS reason FROM sheet)
 SELECT * FROM r WHERE reason IS NOT NULL""")
 def q_rejects(spark, sf):
     from .operators import wordfreq as WF
+    n = F.length("word")                                # a sheet with faults: by word length
     full = WF.frequency_table(S.bodies(spark, sf)).select(
-        F.col("word").alias("keyword"), F.col("count").cast("string").alias("count"), F.col("percent").alias("freq"))
+        F.when(n == 2, "nan").when(n == 7, F.repeat("word", 20)).otherwise(F.col("word")).alias("keyword"),
+        F.concat(F.col("count").cast("string"), F.when(n == 4, "x").otherwise("")).alias("count"), F.col("percent").alias("freq"))
     return K.rejects(full)
 
 

@@ -192,7 +192,7 @@ rl AS (SELECT CASE label WHEN 'positive' THEN 1 WHEN 'negative' THEN 2 ELSE 3 EN
               row_number() OVER (PARTITION BY label ORDER BY CASE WHEN label = 'positive' THEN -compound
                    WHEN label = 'negative' THEN compound ELSE abs(compound) END, title, doc_id) AS rank,
               title, score
-       FROM scores JOIN titles USING (doc_id) WHERE doc_id IN (SELECT doc_id FROM labels)),
+       FROM scores JOIN titles USING (doc_id)),
 lines AS (SELECT section * 10000000000 + rank AS seq,
                  CAST(rank AS VARCHAR) || '. ' || title || ' (得分: ' || CAST(score AS VARCHAR) || ')' AS value FROM rl),
 report AS (SELECT seq, {ustrip(f"regexp_extract(value, {q(_report_entry_pattern())}, 1)")} AS title,

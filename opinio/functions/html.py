@@ -29,7 +29,7 @@ MIN_IMAGE_WIDTH = 100
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"))
 
-NOISE = "(?s)<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<!--.*?-->"
+NOISE = "(?is)<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<!--.*?-->"
 TAG = "<[^>]*>"
 
 
@@ -53,26 +53,54 @@ def _nonblank(c: Column) -> Column:
     return F.when((c != "") & (c != SITE_NAME), c)
 
 
+def _quoted(name: str, value: str) -> str:
+    """Pattern of an attribute in either kind of quotes; ``value`` may hold one ``{any}``."""
+    return (f"\\b{name}\\s*=\\s*(?:\"" + value.replace("{any}", "[^\"]") + "\"|'" + value.replace("{any}", "[^']") + "')")
+
+
+def open_tag(tag: str, cls: str | None = None) -> str:
+    """Pattern of an opening tag (optionally with a class token), upper or lower case."""
+    mark = "" if cls is None else "[^>]*" + _quoted("class", "(?:{any}*\\s)?" + cls + "(?:\\s{any}*)?")
+    return f"(?is)<{tag}\\b{mark}[^>]*>"
+
+
+def balanced(rest: Column, tag: str) -> Column:
+    """What stands before the closing tag that matches a ``<tag>`` just before ``rest``: tags of
+    the same name are counted; an element that is never closed runs to the end."""
+    segs = F.split(rest, f"(?i)(?=<{tag}\\b|</{tag}\\s*>)")
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+
+    def step(acc, seg):
+        depth = acc["depth"] + F.when(seg.rlike(f"(?i)^</{tag}\\s*>"), -1).when(seg.rlike(f"(?i)^<{tag}\\b"), 1).otherwise(0)
+        return F.when(acc["depth"] == 0, acc).otherwise(F.struct(depth.alias("depth"), (acc["n"] + 1).alias("n")))
+    end = F.aggregate(segs, start, step)
+    keep = F.when(end["depth"] == 0, end["n"] - 1).otherwise(F.size(segs))
+    return F.array_join(F.slice(segs, F.lit(1), keep), "")
+
+
 def element_inner(html: Column, tag: str, cls: str | None = None) -> Column:
-    """Inner HTML of the first ``<tag>`` (optionally with a class token); '' if none."""
-    if cls is None:
-        pat = f"(?s)<{tag}\\b[^>]*>(.*?)</{tag}>"
-    else:
-        pat = f"(?s)<{tag}\\b[^>]*class=\"(?:[^\"]*\\s)?{cls}(?:\\s[^\"]*)?\"[^>]*>(.*?)</{tag}>"
-    return F.regexp_extract(html, pat, 1)
+    """Inner HTML of the first ``<tag>`` (optionally with a class token) up to its own closing
+    tag; '' if none."""
+    parts = F.split(html, open_tag(tag, cls), 2)
+    return F.when(F.size(parts) > 1, balanced(F.element_at(parts, -1), tag)).otherwise("")
+
+
+def elements_inner(html: Column, tag: str, opening: str) -> Column:
+    """Inner HTML of every element whose opening tag matches, in document order."""
+    segs = F.split(html, "(?=" + opening + ")")
+    at = F.filter(F.sequence(F.lit(1), F.size(segs)), lambda i: F.element_at(segs, i).rlike("^" + opening))
+    return F.transform(at, lambda i: balanced(
+        F.regexp_replace(F.array_join(F.slice(segs, i, F.size(segs)), ""), "^" + opening, ""), tag))
 
 
 def has_element(html: Column, tag: str, cls: str | None = None) -> Column:
-    if cls is None:
-        return html.rlike(f"<{tag}\\b")
-    return html.rlike(f"<{tag}\\b[^>]*class=\"(?:[^\"]*\\s)?{cls}(?:\\s[^\"]*)?\"")
+    return html.rlike(open_tag(tag, cls))
 
 
 def meta_content(html: Column, prop: str) -> Column:
     """``<meta property=prop content=…>`` in either attribute order ('' if absent)."""
-    a = F.regexp_extract(html, f"<meta\\b[^>]*property=\"{prop}\"[^>]*content=\"([^\"]*)\"", 1)
-    b = F.regexp_extract(html, f"<meta\\b[^>]*content=\"([^\"]*)\"[^>]*property=\"{prop}\"", 1)
-    return F.when(a != "", a).otherwise(b)
+    tag = F.regexp_extract(html, "(?is)(<meta\\b[^>]*" + _quoted("property", prop) + "[^>]*>)", 1)
+    return attr(tag, "content")
 
 
 def page_title(html: Column) -> Column:
@@ -100,16 +128,17 @@ def body_container(html: Column) -> Column:
 def text_block_paragraphs(html: Column) -> Column:
     """C5 fallback: ``<p>`` elements inside divs whose class mentions content/body/text."""
     hint = "|".join(TEXT_BLOCK_HINTS)
-    blocks = F.regexp_extract_all(html, F.lit(f"(?s)<div\\b[^>]*class=\"[^\"]*(?:{hint})[^\"]*\"[^>]*>(.*?)</div>"), F.lit(1))
-    return F.flatten(F.transform(blocks, lambda b: paragraph_fragments(b)))
+    blocks = elements_inner(html, "div", "(?is)<div\\b[^>]*" + _quoted("class", "{any}*(?:" + hint + "){any}*") + "[^>]*>")
+    # a block inside another one is read with it: its paragraphs count once
+    return F.array_distinct(F.flatten(F.transform(blocks, lambda b: paragraph_fragments(b))))
 
 
 def paragraph_fragments(container: Column) -> Column:
     """Raw ``<p>`` contents in order. A paragraph ends at ``</p>``, at the next ``<p>`` (HTML
     closes an open paragraph there) or at the container end."""
-    parts = F.split(container, "<p\\b[^>]*>")
+    parts = F.split(container, "(?i)<p\\b[^>]*>")
     tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
-    return F.transform(tail, lambda x: F.substring_index(x, "</p>", 1))
+    return F.transform(tail, lambda x: F.element_at(F.split(x, "(?i)</p\\s*>", 2), 1))
 
 
 def paragraphs(container: Column) -> Column:
@@ -133,16 +162,16 @@ def base_of(url: Column) -> Column:
 
 def links(html: Column) -> Column:
     """C2 (page form): anchors with an href, as array<struct<href, text>> in document order."""
-    anchors = F.regexp_extract_all(html, F.lit("(?s)<a\\b[^>]*href=\"[^\"]*\"[^>]*>.*?</a>"), F.lit(0))
+    anchors = F.regexp_extract_all(html, F.lit("(?is)<a\\b[^>]*" + _quoted("href", "{any}*") + "[^>]*>.*?</a\\s*>"), F.lit(0))
     return F.transform(anchors, lambda a: F.struct(
-        F.regexp_extract(a, "href=\"([^\"]*)\"", 1).alias("href"),
-        text_of(F.regexp_extract(a, "(?s)<a\\b[^>]*>(.*?)</a>", 1)).alias("text")))
+        attr(F.regexp_extract(a, "(?is)^(<a\\b[^>]*>)", 1), "href").alias("href"),
+        text_of(F.regexp_extract(a, "(?is)<a\\b[^>]*>(.*?)</a\\s*>", 1)).alias("text")))
 
 
 def attr(tag: Column, name: str) -> Column:
     """An attribute value of one tag ('' if missing); double or single quotes."""
-    d = F.regexp_extract(tag, f"\\b{name}=\"([^\"]*)\"", 1)
-    s = F.regexp_extract(tag, f"\\b{name}='([^']*)'", 1)
+    d = F.regexp_extract(tag, f"(?i)\\b{name}\\s*=\\s*\"([^\"]*)\"", 1)
+    s = F.regexp_extract(tag, f"(?i)\\b{name}\\s*=\\s*'([^']*)'", 1)
     return F.when(d != "", d).otherwise(s)
 
 
@@ -153,14 +182,14 @@ def images(container: Column, no_caption: str) -> Column:
     raised and lost the article); no src drops it; the caption is the enclosing figure's
     figcaption text, else the "none" marker.
     """
-    segs = F.split(container, "(?=<figure\\b)|(?<=</figure>)")
+    segs = F.split(container, "(?i)(?=<figure\\b)|(?<=</figure>)")
 
     def seg_imgs(seg):
-        in_fig = seg.startswith("<figure")
-        cap_html = F.regexp_extract(seg, "(?s)<figcaption\\b[^>]*>(.*?)</figcaption>", 1)
-        has_cap = seg.rlike("<figcaption\\b")
+        in_fig = seg.rlike("(?i)^<figure\\b")
+        cap_html = F.regexp_extract(seg, "(?is)<figcaption\\b[^>]*>(.*?)</figcaption>", 1)
+        has_cap = seg.rlike("(?i)<figcaption\\b")
         caption = F.when(in_fig & has_cap, text_of(cap_html)).otherwise(F.lit(no_caption))
-        tags = F.regexp_extract_all(seg, F.lit("<img\\b[^>]*>"), F.lit(0))
+        tags = F.regexp_extract_all(seg, F.lit("(?i)<img\\b[^>]*>"), F.lit(0))
         return F.transform(tags, lambda t: F.struct(attr(t, "src").alias("src"),
                                                     attr(t, "width").alias("width"),
                                                     caption.alias("caption")))
@@ -174,13 +203,13 @@ def videos(container: Column) -> Column:
     """Video elements, then player iframes, then the first video/iframe of each
     media-player container; entries without src are dropped. (Same element may repeat,
     as in the reference.)"""
-    vids = F.regexp_extract_all(container, F.lit("<video\\b[^>]*>"), F.lit(0))
-    ifr = F.filter(F.regexp_extract_all(container, F.lit("<iframe\\b[^>]*>"), F.lit(0)),
+    vids = F.regexp_extract_all(container, F.lit("(?i)<video\\b[^>]*>"), F.lit(0))
+    ifr = F.filter(F.regexp_extract_all(container, F.lit("(?i)<iframe\\b[^>]*>"), F.lit(0)),
                    lambda t: F.instr(attr(t, "src"), "player") > 0)
-    boxes = F.regexp_extract_all(container, F.lit("(?s)<div\\b[^>]*data-e2e=\"media-player\"[^>]*>(.*?)</div>"), F.lit(1))
+    boxes = elements_inner(container, "div", "(?is)<div\\b[^>]*" + _quoted("data-e2e", "media-player") + "[^>]*>")
     inner = F.transform(boxes, lambda b: F.coalesce(
-        F.nullif(F.regexp_extract(b, "(<video\\b[^>]*>)", 1), F.lit("")),
-        F.nullif(F.regexp_extract(b, "(<iframe\\b[^>]*>)", 1), F.lit(""))))
+        F.nullif(F.regexp_extract(b, "(?i)(<video\\b[^>]*>)", 1), F.lit("")),
+        F.nullif(F.regexp_extract(b, "(?i)(<iframe\\b[^>]*>)", 1), F.lit(""))))
     tags = F.concat(vids, ifr, F.filter(inner, lambda x: x.isNotNull()))
     return F.filter(F.transform(tags, lambda t: F.struct(attr(t, "src").alias("src"))), lambda v: v["src"] != "")
 
@@ -192,8 +221,7 @@ RESULT_TITLE_SPAN_CLASS = "promo-heading__title"
 
 
 def _blocks(html: Column, cls: str) -> Column:
-    pat = f"(?s)<div\\b[^>]*class=\"(?:[^\"]*\\s)?{cls}(?:\\s[^\"]*)?\"[^>]*>(.*?)</div>"
-    return F.regexp_extract_all(html, F.lit(pat), F.lit(1))
+    return elements_inner(html, "div", open_tag("div", cls))
 
 
 def result_blocks(html: Column) -> Column:
@@ -209,7 +237,7 @@ def result_hits(html: Column) -> Column:
     """array<struct<href, title>> — first link of each block (blocks without a link or
     href are skipped); title from h3, else h2, else the heading span, else "No Title"."""
     def hit(b):
-        a_tag = F.regexp_extract(b, "(<a\\b[^>]*>)", 1)
+        a_tag = F.regexp_extract(b, "(?i)(<a\\b[^>]*>)", 1)
         href = attr(a_tag, "href")
         t = F.coalesce(F.when(has_element(b, "h3"), text_of(element_inner(b, "h3"))),
                        F.when(has_element(b, "h2"), text_of(element_inner(b, "h2"))),

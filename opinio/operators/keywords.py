@@ -35,10 +35,10 @@ def read_sheet(spark, path: str, fmt: str = "csv") -> DataFrame:
 
 
 def typed_sheet(sheet: DataFrame) -> DataFrame:
-    """S4 + F9 + W8 + W9: trimmed keyword, integer count, heat and weight; blank / 'nan'
+    """S4 + F9 + W8 + W9: trimmed keyword, 64-bit count (a hot word of a large corpus passes 2^31), heat and weight; blank / 'nan'
     keywords are skipped; a count that is not an integer gives NULLs (see ``rejects``)."""
     kw = F.trim(F.col("keyword"))
-    cnt = F.trim(F.col("count")).try_cast("int")
+    cnt = F.trim(F.col("count")).try_cast("bigint")
     freq = F.trim(F.col("freq"))
     return (sheet.where(kw.isNotNull() & ~kw.isin("", "nan"))
             .select(kw.alias("keyword"), cnt.alias("count"), freq.alias("freq"),
@@ -48,7 +48,7 @@ def typed_sheet(sheet: DataFrame) -> DataFrame:
 
 def _reason(sheet: DataFrame):
     kw = F.trim(F.col("keyword"))
-    cnt = F.trim(F.col("count")).try_cast("int")
+    cnt = F.trim(F.col("count")).try_cast("bigint")
     freq = F.trim(F.col("freq"))
     return (F.when(kw.isNull() | kw.isin("", "nan"), "blank keyword")
             .when(F.length(kw) > KEYWORD_MAX_CHARS, "keyword too long")

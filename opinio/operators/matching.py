@@ -162,11 +162,22 @@ def match_containment(articles: DataFrame, report_dedup: DataFrame) -> DataFrame
 # ------------------------------------ M3 / D4 ------------------------------------------
 
 def match_best(articles: DataFrame, report_dedup: DataFrame) -> DataFrame:
-    """M3: the exact match if there is one, else the fuzzy hit that comes first in the report."""
+    """M3: the exact match if there is one, else the fuzzy hit that comes first in the report.
+
+    Articles with an exact match leave before the fuzzy candidates are made, and each candidate
+    branch keeps only the first report entry per article (a partial minimum) before the branches
+    meet, so the fuzzy pairs are never all there at once.
+    """
     exact = (articles.select("a_id", "a_title")
              .join(report_dedup.select(F.col("title").alias("a_title"), F.col("seq").alias("r_seq")), "a_title")
              .select("a_id", "r_seq", F.lit(0).alias("prio")))
-    fuzzy = match_fuzzy(articles, report_dedup).select("a_id", "r_seq", F.lit(1).alias("prio"))
+    rest = articles.join(exact.select("a_id"), "a_id", "left_anti")
+    a, r = _sides(rest, report_dedup, norm_title)
+    aw = a.select("a_id", title_words(F.col("a_norm")).alias("a_words"))
+    rw = r.select("r_id", title_words(F.col("r_norm")).alias("r_words"))
+    first = lambda pairs: pairs.groupBy("a_id").agg(F.min("r_id").alias("r_seq"))
+    fuzzy = (first(overlap_pairs(aw, rw)).unionByName(first(containment_either(a, r)))
+             .withColumn("prio", F.lit(1)))
     best = (exact.unionByName(fuzzy).groupBy("a_id")
             .agg(F.min_by(F.struct("r_seq", "prio"), F.struct("prio", "r_seq")).alias("b"))
             .select("a_id", F.col("b.r_seq").alias("r_seq"),

@@ -55,16 +55,19 @@ def sentiment_statistics(corpus: DataFrame, sentiment: DataFrame) -> DataFrame:
 
 
 def media_activity(corpus: DataFrame) -> DataFrame:
-    """G5 [ours]: articles per media and month; score = 100·count / max count of that month.
+    """G5 [ours]: articles per media and month (the table's key); score = 100·count / max count
+    of that month; the source is the media's most frequent one of the month, ties by name.
 
-    The max per month is an aggregate of the aggregate joined back on the month (few rows),
-    not a window over the corpus.
+    Counts per source come first (partial sums), then few rows per media and month. The max
+    per month is an aggregate of the aggregate joined back on the month, not a window.
     """
     month = F.date_format("publish_date", "yyyy-MM")
-    per = (corpus.groupBy("media_name", "source", month.alias("stat_month"))
-           .agg(F.count(F.lit(1)).alias("article_count")))
+    by_source = (corpus.groupBy("media_name", "source", month.alias("stat_month"))
+                 .agg(F.count(F.lit(1)).alias("_n")))
+    per = (by_source.groupBy("media_name", "stat_month")
+           .agg(F.sum("_n").alias("article_count"), F.min_by("source", F.struct(-F.col("_n"), "source")).alias("source")))
     mx = per.groupBy("stat_month").agg(F.max("article_count").alias("_max"))
-    return (per.join(F.broadcast(mx), "stat_month")
+    return (per.join(mx, "stat_month")
             .select("media_name", "source", "article_count",
                     (F.col("article_count") * 100 / F.col("_max")).cast("decimal(5,2)").alias("activity_score"),
                     "stat_month"))

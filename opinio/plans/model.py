@@ -85,10 +85,8 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The ranked report over the labelled (loaded) documents as ``(seq, value)`` lines."""
-    sc = scores(spark, sf).join(S.labelled_ids(spark, sf).withColumnRenamed("corpus_id", "doc_id"), "doc_id",
-                                "left_semi")
-    lines = V.ranked_report_lines(sc, titles(spark, sf))
+    """The ranked report over every scored document as ``(seq, value)`` lines."""
+    lines = V.ranked_report_lines(scores(spark, sf), titles(spark, sf))
     return lines.select((F.col("section") * REPORT_SECTION_STRIDE + F.col("rank")).alias("seq"),
                         F.col("line").alias("value"))
 

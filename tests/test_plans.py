@@ -2,16 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SMALL
+from opinio.catalog import QUERIES
 
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-QUERIES = E.queries()
-
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plans(spark, name):
@@ -52,5 +50,6 @@ def test_per_phrase_cap_limits_map_side(spark):
 
 def test_report_numbering_has_no_global_window(spark):
     p = plan_of(QUERIES["ranked_report_lines"](spark, SMALL))
-    # the only windows run over the per-range count table, partitioned by range or label
-    assert "SinglePartition" not in p or "Window" not in p.split("SinglePartition")[0][-200:]
+    # windows run per (label, bucket) and, over the counts, per label: never over the whole table
+    assert "SinglePartition" not in p.replace("functions=[partial_count(1)])", "") or "Window" not in p.split("SinglePartition")[0][-200:]
+    assert all("_bucket" in w or "label" in w for w in p.split("Window [")[1:])
