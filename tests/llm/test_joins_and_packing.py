@@ -195,6 +195,12 @@ def test_article_without_its_surroundings():
     assert html_wrapper.main_text(PAGE, {}, []) == "Big & Title\nFirst bold text here next line.\nSecond para.\none\ntwo\nLast"
 
 
+def test_marks_of_regions():
+    page = """<body class="has-sidebar"><div class="layout with-sidebar"><article class="post sidebar-left"><div class="article-header"><h1>T</h1>by me</div>
+    <p>One &lt;two&gt; &#233;.</p><ol class="commentlist"><li>c</li></ol><article class="comment"><p>r</p></article><p>commentary</p></article></div></body>"""
+    assert html_wrapper.main_text(page, {}, []) == "T\nOne <two> é.\ncommentary"
+
+
 def test_wrapper_of_a_host_without_article():
     page = '<body><div id="top-menu">m</div><div class="content"><div class=story><h2>T</h2>%s</div></div><div class="sidebar">z</div></body>'
     pages = [page % "".join(f"<p>Paragraph {k} is long enough.</p>" for k in range(n)) for n in (1, 3, 2)]
