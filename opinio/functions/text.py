@@ -17,28 +17,22 @@ from pyspark.sql import functions as F
 
 # Stop words removed before plural stripping (178 entries, reference order).
 STOP_WORDS = (
-    "a an the and or but is are was were "
-    "be been being in on at to for with by "
-    "about against between into through during before "
-    "after above below from up down of off over "
-    "under again further then once here there when "
-    "where why how all any both each few more "
-    "most other some such no nor not only own "
-    "same so than too very can will just should "
-    "now that this it its has have had would could "
-    "says said which they their them these those "
-    "who what whom whose may might must shall since "
-    "does did done doing do you your our we "
-    "he she him her his hers my me mine am im "
-    "also as if because while until unless although "
-    "though despite however nevertheless nonetheless therefore "
-    "thus hence consequently accordingly rather instead "
-    "moreover furthermore additionally besides likewise similarly "
-    "get got getting make made making take took taking "
-    "say saying go going went come coming came year "
-    "day time way use used using one two three four "
-    "five six seven eight nine ten"
-).split()
+    "a", "an", "the", "and", "or", "but", "is", "are", "was", "were", "be", "been", "being", "in", "on", "at",
+    "to", "for", "with", "by", "about", "against", "between", "into", "through", "during", "before", "after",
+    "above", "below", "from", "up", "down", "of", "off", "over", "under", "again", "further", "then", "once",
+    "here", "there", "when", "where", "why", "how", "all", "any", "both", "each", "few", "more", "most",
+    "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than", "too", "very", "can",
+    "will", "just", "should", "now", "that", "this", "it", "its", "has", "have", "had", "would", "could",
+    "says", "said", "which", "they", "their", "them", "these", "those", "who", "what", "whom", "whose", "may",
+    "might", "must", "shall", "since", "does", "did", "done", "doing", "do", "you", "your", "our", "we", "he",
+    "she", "him", "her", "his", "hers", "my", "me", "mine", "am", "im", "also", "as", "if", "because",
+    "while", "until", "unless", "although", "though", "despite", "however", "nevertheless", "nonetheless",
+    "therefore", "thus", "hence", "consequently", "accordingly", "rather", "instead", "moreover",
+    "furthermore", "additionally", "besides", "likewise", "similarly", "get", "got", "getting", "make",
+    "made", "making", "take", "took", "taking", "say", "saying", "go", "going", "went", "come", "coming",
+    "came", "year", "day", "time", "way", "use", "used", "using", "one", "two", "three", "four", "five",
+    "six", "seven", "eight", "nine", "ten",
+)
 
 # Article file layout markers.
 TITLE_MARKER = "标题: "

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.urls import media_filename
+from ..plans.joins import bounded_broadcast
 
 PHRASE_SCHEMA = T.StructType([T.StructField("phrase_seq", T.IntegerType(), False),
                               T.StructField("phrase", T.StringType(), False)])
@@ -41,14 +42,14 @@ def phrase_search(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """``(phrase_seq, phrase, doc_id, url, title)`` for every document whose text contains
     the phrase (case-insensitive). ``phrases`` is a literal list → broadcast nested loop with
     a ``contains`` condition; the corpus side is scanned once."""
-    p = F.broadcast(phrases.select("phrase_seq", "phrase", F.lower("phrase").alias("_lp")))
+    p = bounded_broadcast(phrases.select("phrase_seq", "phrase", F.lower("phrase").alias("_lp")))
     d = docs.select("doc_id", "url", "title", F.lower("text").alias("_lt"))
     return d.join(p, F.instr(F.col("_lt"), F.col("_lp")) > 0).select("phrase_seq", "phrase", "doc_id", "url", "title")
 
 
 def phrase_search_dated(docs: DataFrame, phrases: DataFrame, ranges: DataFrame) -> DataFrame:
     """As M12, restricted to each phrase's publish-date ranges (both small, broadcast)."""
-    cfg = F.broadcast(phrases.join(ranges, "phrase_seq").select("phrase_seq", "phrase", F.lower("phrase").alias("_lp"),
+    cfg = bounded_broadcast(phrases.join(ranges, "phrase_seq").select("phrase_seq", "phrase", F.lower("phrase").alias("_lp"),
                                                                "start_date", "end_date"))
     d = docs.select("doc_id", "url", "title", "publish_date", F.lower("text").alias("_lt"))
     cond = (F.instr(F.col("_lt"), F.col("_lp")) > 0) & F.col("publish_date").between(F.col("start_date"), F.col("end_date"))

@@ -65,8 +65,10 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     sketches (``approx_count_distinct``): mergeable partial states instead of one distinct
     shuffle per column — the choice for wide tables at scale."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in df.columns:
-        dist = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
+    for c, kind in df.dtypes:
+        # strings are counted by their digest: texts themselves would be shuffled as group keys
+        value = F.unhex(F.sha2(F.col(c).cast("binary"), 256)) if kind == "string" else F.col(c)
+        dist = F.count_distinct(value) if exact else F.approx_count_distinct(F.col(c))
         aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), dist.alias(f"{c}__distinct")]
     one = df.agg(*aggs)
     types = dict(df.dtypes)

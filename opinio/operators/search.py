@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import bounded_broadcast
+
 NGRAM = 2
 
 
@@ -21,7 +23,7 @@ def phrase_ngrams(phrase):
 
 def ngram_search(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """``(phrase_seq, doc_id, shared, n_grams)`` for documents sharing at least one bigram."""
-    p = F.broadcast(phrases.select("phrase_seq", phrase_ngrams(F.col("phrase")).alias("grams")))
+    p = bounded_broadcast(phrases.select("phrase_seq", phrase_ngrams(F.col("phrase")).alias("grams")))
     d = docs.select("doc_id", F.lower(F.concat_ws(" ", "title", "text")).alias("_t"))
     j = d.join(p, F.size("grams") > 0)
     shared = F.size(F.filter("grams", lambda g: F.instr(F.col("_t"), g) > 0))

@@ -78,15 +78,16 @@ def top_words(docs: DataFrame, n: int = 100, body_col: str = "body",
               stop_words=T.STOP_WORDS) -> DataFrame:
     """L6 + W5 + W7: the ``n`` most frequent words with relative frequency and percent text.
 
-    One pass: ``rollup(word)`` yields every word count plus the grand total (the W5
-    denominator) from the same partial/final aggregate. The total row is ordered first, so
+    Tokens are counted per word first (partial sums before the shuffle); ``rollup`` then adds
+    the grand total (the W5 denominator) over the counts, so the expansion doubles one row per
+    word and not the token stream. The total row is ordered first, so
     a single TakeOrdered of ``n + 1`` rows carries both; the window below runs over those
     ``n + 1`` rows only. Ties are broken by the word (the reference leaves them open).
     ``frequency`` is ``count / total`` (double); ``percent`` is that ratio times 100 with
     four decimals, rounded half-up from the exact ratio.
     """
-    counts = (corpus_words(docs, body_col, stop_words).rollup("word")
-              .agg(F.count(F.lit(1)).alias("count"), F.grouping("word").alias("_is_total")))
+    counts = (word_count(docs, body_col, stop_words).rollup("word")
+              .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count"), F.grouping("word").alias("_is_total")))
     top = counts.orderBy(F.col("_is_total").desc(), F.col("count").desc(), F.col("word").asc()).limit(n + 1)
     whole = Window.partitionBy(F.lit(1))
     rows = top.withColumn("total_words", F.max(F.when(F.col("_is_total") == 1, F.col("count"))).over(whole)) \

@@ -1,6 +1,7 @@
 """Join shapes shared by the operators.
 
-``bounded_broadcast`` is the only place the library hints a broadcast. The hint is given
+``bounded_broadcast`` hints a broadcast of a table whose size isn't known beforehand (one-row
+aggregates, literal parameter lists and top-k results are hinted where they are made). The hint is given
 only after a cheap, distributed row count proves the side is below a bound; beyond the
 bound the side is returned unhinted and Spark plans a shuffle join (AQE may still
 convert it at runtime from real statistics).

@@ -33,26 +33,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, text_work: bool = Fa
     return spread(df) if (text_work and name in TEXT_TABLES) else df
 
 
+#: A text table in fewer files than this is spread, into as many parts.
+SPREAD_FILES, SPREAD_PARTS = 16, 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over the cluster when the scan has fewer splits than cores.
-
-    A large table already arrives in thousands of splits and is returned untouched (no extra
-    shuffle). A table stored as one big row group would otherwise run every regex and
-    tokeniser of the job in a single task. Rows are hash-spread by their position in the
-    scan (``monotonically_increasing_id``: the same on a retried task of a file scan, so a
-    lost executor recomputes the same split) and the spread copy is persisted
-    (memory and disk). The persisted relation is also a barrier for the optimizer: filters
-    that Spark infers from costly expressions (e.g. ``size(regex…) > 0`` before an explode)
-    would otherwise be pushed back below the exchange into the single scan task.
+    """Spread the rows of a table that lies in few files.
+
+    A large table lies in many files and is returned untouched (no extra shuffle), whatever the
+    number of cores. A table in a few files of one row group each would run every regex and
+    tokeniser of the job in as few tasks (byte-range splits don't divide a row group). Rows are
+    hash-spread by their position in the scan (``monotonically_increasing_id``: the same on a
+    retried task of a file scan, so a lost executor recomputes the same part) and the spread copy
+    is persisted (memory and disk; it is small by the rule above, and ``spark.catalog.clearCache``
+    frees it). The persisted relation is also a barrier for the optimizer: filters that Spark
+    infers from costly expressions (e.g. ``size(regex…) > 0`` before an explode) would otherwise
+    be pushed back below the exchange into the few scan tasks.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API (e.g. Spark Connect): leave the scan as is
-        return df
-    if splits >= target:
+    if len(df.inputFiles()) >= SPREAD_FILES:
         return df
-    return df.repartition(target, F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.repartition(SPREAD_PARTS, F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def corpus_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
