@@ -743,6 +743,7 @@ from .operators import quality as QA  # noqa: E402
 SOURCE_DOMAIN = ("en", "de", "fr", "es")
 TYPE_DOMAIN = ("text", "image", "video")
 SENTIMENT_DOMAIN = ("positive", "neutral", "negative")
+RATE_COLUMNS = ("confidence", "positive_rate", "negative_rate", "neutral_rate")
 TPCH_FKS = (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
             ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
             ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"),
@@ -752,16 +753,26 @@ TPCH_FKS = (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_or
 def _audit(spark, sf):
     c = S.corpus(spark, sf)
     sa = MD.sentiment_table(spark, sf)
+    kw = MD.keywords(spark, sf)
     parts = [
-        QA.not_null(c, "corpus", "title", "id"),
-        QA.max_length(c, "corpus", "title", 500, "id"),
-        QA.in_domain(c, "corpus", "source", SOURCE_DOMAIN, "id"),
-        QA.in_domain(c, "corpus", "type", TYPE_DOMAIN, "id"),
-        QA.max_length(c, "corpus", "media_name", 200, "id"),
+        QA.row_checks(c, "corpus", "id", [
+            ("title not null", F.col("title").isNull()), ("title length <= 500", F.length("title") > 500),
+            ("source in domain", ~F.col("source").isin(list(SOURCE_DOMAIN))), ("type in domain", ~F.col("type").isin(list(TYPE_DOMAIN))),
+            ("media_name length <= 200", F.length("media_name") > 200)]),
         QA.unique(c, "corpus", ["id"]),
+        QA.row_checks(sa, "sentiment_analysis", "id", [
+            ("sentiment in domain", ~F.col("sentiment").isin(list(SENTIMENT_DOMAIN))),
+            *[(f"{r} in [0, 100]", QA.outside(r, 0, 100)) for r in RATE_COLUMNS],
+            ("sentiment_score in [-1, 1]", QA.outside("sentiment_score", -1, 1))]),
         QA.foreign_key(sa, "sentiment_analysis", "corpus_id", c, "id", "corpus"),
-        QA.in_domain(sa, "sentiment_analysis", "sentiment", SENTIMENT_DOMAIN, "id"),
+        QA.row_checks(kw, "keywords", "corpus_id", [
+            ("keyword not null", F.col("keyword").isNull()), ("keyword length <= 100", F.length("keyword") > 100),
+            ("weight in [0, 999.99]", QA.outside("weight", 0, 999.99))]),
+        QA.row_checks(MD.hot_keywords(spark, sf), "hot_keywords", "keyword", [
+            ("count not null", F.col("count").isNull()), ("heat_score in [0, 999.99]", QA.outside("heat_score", 0, 999.99)),
+            ("count in INT range", QA.outside("count", -2147483648, 2147483647))]),
         QA.unique(G.source_statistics(c, sa, MD.STAT_DATE), "statistics", ["stat_date", "source"]),
+        QA.unique(G.media_activity(c), "media_activity", ["media_name", "stat_month"]),
     ]
     for child, fk, parent, pk in TPCH_FKS:
         parts.append(QA.foreign_key(S.read_table(spark, sf, child), child, fk, S.read_table(spark, sf, parent), pk, parent))
@@ -780,6 +791,17 @@ def _audit_sql() -> str:
         "WHERE corpus_id IS NOT NULL AND corpus_id NOT IN (SELECT id FROM corpus)",
         f"SELECT 'sentiment_analysis', 'sentiment in domain', CAST(id AS VARCHAR) FROM sentiment_analysis "
         f"WHERE sentiment IS NOT NULL AND sentiment NOT IN {SENTIMENT_DOMAIN}",
+        *[f"SELECT 'sentiment_analysis', '{r} in [0, 100]', CAST(id AS VARCHAR) FROM sentiment_analysis WHERE {r} < 0 OR {r} > 100"
+          for r in RATE_COLUMNS],
+        "SELECT 'sentiment_analysis', 'sentiment_score in [-1, 1]', CAST(id AS VARCHAR) FROM sentiment_analysis "
+        "WHERE sentiment_score < -1 OR sentiment_score > 1",
+        "SELECT 'keywords', 'keyword not null', CAST(corpus.id AS VARCHAR) FROM corpus, hk WHERE keyword IS NULL",
+        "SELECT 'keywords', 'keyword length <= 100', CAST(corpus.id AS VARCHAR) FROM corpus, hk WHERE length(keyword) > 100",
+        "SELECT 'hot_keywords', 'count not null', keyword FROM hk WHERE count IS NULL",
+        "SELECT 'hot_keywords', 'heat_score in [0, 999.99]', keyword FROM hk WHERE heat_score < 0 OR heat_score > 999.99",
+        "SELECT 'hot_keywords', 'count in INT range', keyword FROM hk WHERE abs(CAST(count AS HUGEINT)) > 2147483647",
+        "SELECT 'media_activity', 'unique(media_name, stat_month)', media_name || '|' || m FROM (SELECT DISTINCT media_name, "
+        "strftime(publish_date, '%Y-%m') AS m FROM corpus) GROUP BY media_name, m HAVING count(*) > 1",
         "SELECT 'statistics', 'unique(stat_date, source)', '2024-12-31|' || source FROM "
         "(SELECT source FROM corpus LEFT JOIN sentiment_analysis sa ON corpus.id = sa.corpus_id GROUP BY source) "
         "GROUP BY source HAVING count(*) > 1",
@@ -787,7 +809,8 @@ def _audit_sql() -> str:
     for child, fk, parent, pk in TPCH_FKS:
         parts.append(f"SELECT '{child}', '{fk} references {parent}.{pk}', CAST({fk} AS VARCHAR) FROM {child} "
                      f"WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {parent})")
-    return f"WITH {D.CORPUS_CTE}, {D.SENT_CTE}\n" + "\nUNION ALL ".join(parts)
+    hot = f"hk AS (WITH {D.HOT_CTE} SELECT keyword, count, heat_score FROM hot_keywords)"
+    return f"WITH {D.CORPUS_CTE}, {D.SENT_CTE}, {hot}\n" + "\nUNION ALL ".join(parts)
 
 
 @register("audit_constraints", _audit_sql())
@@ -805,6 +828,15 @@ def q_cascade_delete(spark, sf):
                                                                             "sentiment_score")
 
 
+@register("cascade_delete_keywords", f"""
+WITH {D.KEYWORDS_CTE}
+SELECT corpus_id, keyword FROM keywords
+WHERE corpus_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
+def q_cascade_delete_keywords(spark, sf):
+    deleted = S.read_table(spark, sf, "labels").where(F.col("toxic") == 1).select(F.col("doc_id").alias("id"))
+    return QA.cascade_delete(MD.keywords(spark, sf), deleted).select("corpus_id", "keyword")
+
+
 @register("apply_defaults", f"""
 WITH {D.SHEET_CTE}
 SELECT keyword, 'all' AS source, coalesce(count, 1) AS count, {D.heat_score('freq', 'count')} AS heat_score FROM sheet""")

@@ -20,6 +20,13 @@ def _v(df: DataFrame, table: str, rule: str, key: Column) -> DataFrame:
     return df.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), key.cast("string").alias("key"))
 
 
+def row_checks(df: DataFrame, table: str, key: str, checks) -> DataFrame:
+    """All row rules of a table in one pass: ``checks`` are (rule, condition that breaks it); a
+    row gives one violation per broken rule (a condition that is NULL breaks nothing)."""
+    broken = F.filter(F.array(*[F.when(c, F.lit(r)) for r, c in checks]), lambda r: r.isNotNull())
+    return (df.select(F.lit(table).alias("table_name"), F.explode(broken).alias("rule"), F.col(key).cast("string").alias("key")))
+
+
 def not_null(df: DataFrame, table: str, col: str, key: str) -> DataFrame:
     return _v(df.where(F.col(col).isNull()), table, f"{col} not null", F.col(key))
 
@@ -44,6 +51,11 @@ def foreign_key(child: DataFrame, table: str, fk: str, parent: DataFrame, pk: st
     return _v(orphans, table, f"{fk} references {parent_name}.{pk}", F.col(fk))
 
 
+def outside(col: str, low, high) -> Column:
+    """A value that a bounded column cannot hold."""
+    return (F.col(col) < low) | (F.col(col) > high)
+
+
 def union_all(parts) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
