@@ -44,12 +44,8 @@ class Caps:
     """Filters for vectors of one dimension."""
 
     def __init__(self, dim: int, entries: int, threshold: float = THRESHOLD, recall: float = RECALL):
-        rng = np.random.default_rng(SEED + dim)
-        self.parts = min(PARTS, dim)
-        self.words = max(8, int(np.ceil((float(FILTERS) * max(entries, 1)) ** (1 / self.parts))))
-        self.turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
-        self.cuts = np.array_split(np.arange(dim), self.parts)
-        self.code = [c / np.linalg.norm(c, axis=1, keepdims=True) for c in (rng.normal(size=(self.words, len(k))) for k in self.cuts)]
+        words = max(8, int(np.ceil((float(FILTERS) * max(entries, 1)) ** (1 / min(PARTS, dim)))))
+        rng = self._draw(dim, words)
         a = rng.normal(size=(PAIRS, dim))
         a /= np.linalg.norm(a, axis=1, keepdims=True)
         b = rng.normal(size=(PAIRS, dim))
@@ -58,6 +54,22 @@ class Caps:
         b = threshold * a + np.sqrt(1 - threshold ** 2) * np.divide(b, norm, out=np.zeros_like(b), where=norm > 0)
         self.alpha = self._fit(a, b, recall)
 
+    def _draw(self, dim: int, words: int) -> np.random.Generator:
+        """The rotation and the code; they depend on the seed, the dimension and the words only."""
+        self.dim, self.words, self.parts = dim, words, min(PARTS, dim)
+        rng = np.random.default_rng(SEED + dim)
+        self.turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+        self.cuts = np.array_split(np.arange(dim), self.parts)
+        self.code = [c / np.linalg.norm(c, axis=1, keepdims=True) for c in (rng.normal(size=(words, len(k))) for k in self.cuts)]
+        return rng
+
+    def __getstate__(self) -> tuple[int, int, float]:
+        return self.dim, self.words, self.alpha  # the code grows with the data: tasks draw it again
+
+    def __setstate__(self, state: tuple[int, int, float]) -> None:
+        self._draw(*state[:2])
+        self.alpha = state[2]
+
     def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Inner products of one vector with all words of each half of the code."""
         x = self.turn @ x

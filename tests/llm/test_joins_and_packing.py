@@ -124,6 +124,15 @@ def test_list_decoding_finds_every_filter():
         assert code.decode(x).tolist() == np.flatnonzero((first[:, None] + second[None, :]).ravel() >= code.alpha).tolist()
 
 
+def test_tasks_draw_the_same_code():
+    import pickle
+
+    code = caps.Caps(16, 50)
+    again = pickle.loads(pickle.dumps(code))
+    x = caps.unit_vector([float(k) - 7 for k in range(16)])
+    assert again.decode(x).tolist() == code.decode(x).tolist() and len(pickle.dumps(code)) < 300
+
+
 def test_embedding_recall_on_the_table(spark):
     e = spark.read.parquet(f"{MEDIUM}/embeddings.parquet").orderBy("vec_id").toPandas()
     x = np.array(e.embedding.tolist(), dtype=float)
