@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -58,27 +58,27 @@ class WordTokenizer:
 
     #: Characters whose NFC form, lower case and class are the same in every Unicode version.
     PLAIN = re.compile("[\\t\\n\\v\\f\\r\\x20-\\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
-    SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\\s0-9a-z\xdf-\xf6\xf8-\xff]+")
+    SPLIT = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\\s0-9a-z\xdf-\xf6\xf8-\xff]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         spelt = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-        ids = self.known[word] = [t.id for t in self.model.tokenize(spelt)]
+        ids = self.known[word] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if "<|" in text or not self.PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         get = self.known.get
-        return list(chain.from_iterable([get(w) or self._word(w) for w in self.SPLIT.findall(text.lower())]))
+        return np.frombuffer(b"".join([get(w) or self._word(w) for w in self.SPLIT.findall(text.lower())]), np.uint32)
 
 
 class Room:
@@ -134,7 +134,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     def of(b):
         if not held:
             held.append(WordTokenizer(tokenizer_path))
-        ids = [np.array([*held[0].encode(t or ""), END_ID], dtype="<u4") for t in b.column("_text").to_pylist()]
+        ids = [np.append(held[0].encode(t or ""), np.uint32(END_ID)).astype("<u4") for t in b.column("_text").to_pylist()]
         narrow = [i.astype("<u2") if i.max() < 65536 else i for i in ids]
         return {"_row": b.column("_row"), id_col: b.column(id_col), "n": [len(i) for i in ids],
                 "wide": [i.dtype.itemsize == 4 for i in narrow], "ids": [i.tobytes() for i in narrow]}
