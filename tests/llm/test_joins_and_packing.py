@@ -254,3 +254,8 @@ def test_pipeline_stages_equal_brute_force(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, state, SMALL)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == kept
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+def test_text_stays_after_letters_that_grow_in_lower_case():
+    page = "<article>" + "\u0130" * 20 + "<script>x</script> kept words <b>y</b><SCRIPT>z</Script><p>end</p></article>"
+    assert html_wrapper.main_text(page, {}, []) == "\u0130" * 20 + " kept words y\nend"
