@@ -9,8 +9,9 @@
    clusters. Any pair that shares a band is inside one cluster.
 3. The n-gram sets of clustered entries meet by cluster. A cluster is dealt at random into
    blocks of ``BLOCK`` entries and every pair of blocks is a unit of work, so no task holds
-   more than two blocks. All pairs of a unit that share a band are verified by exact set sizes
-   (products of 0/1 incidence matrices, a bounded number of columns at a time). A unit returns
+   more than two blocks. All pairs of a unit are verified by exact set sizes (products of 0/1
+   incidence matrices, a bounded number of columns at a time), whether or not they share a band:
+   every pair of a cluster meets in exactly one unit. A unit returns
    counts per entry and a spanning forest of its links, never the pairs.
 4. Components of the verified links are the classes.
 
@@ -154,7 +155,6 @@ def verify_unit(unit: list[dict], n: int, numbers: dict, similarity: tuple[int,
     rows = np.array([e["_row"] for e in once])
     block = np.array([e["_own"] for e in once])
     copies = np.array([e["_copies"] for e in once])
-    bands = np.array([e["_bands"] for e in once], dtype=np.int64)
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
     same = overlaps(sets).astype(np.float64)
     top, bottom = similarity
@@ -167,7 +167,6 @@ def verify_unit(unit: list[dict], n: int, numbers: dict, similarity: tuple[int,
     counts = np.zeros(len(once), dtype=np.int64)
     for i in np.flatnonzero(linked.any(1)):
         near = np.flatnonzero(linked[i])
-        near = near[(bands[near] == bands[i]).any(1)]
         counts[i] = copies[near].sum()
         for j in near[near < i]:
             forest.join(int(rows[i]), int(rows[j]))
@@ -178,12 +177,12 @@ def verify(texts: DataFrame, entries: DataFrame, clustered: DataFrame, n: int, s
     """``entry``, ``links`` (of other entries' documents) and ``near`` rows of all units; texts: ``_row``, ``_text``."""
     sizes = clustered.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     member = (clustered.join(sizes, "component")
-              .join(entries.select(F.col("_row").alias("node"), "_copies", "_bands"), "node")
+              .join(entries.select(F.col("_row").alias("node"), "_copies"), "node")
               .withColumn("_own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
     units = (member.join(texts.withColumnRenamed("_row", "node"), "node")
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("component", F.least("_own", "_other").alias("_first"), F.greatest("_own", "_other").alias("_second"),
-                     F.col("node").alias("_row"), "_own", "_copies", "_bands", "_text"))
+                     F.col("node").alias("_row"), "_own", "_copies", "_text"))
     key = ["component", "_first", "_second"]
     numbers = _Numbers()
     arrow = pa.schema([("entry", pa.int64()), ("links", pa.int64()), ("near", pa.int64())])

@@ -259,3 +259,11 @@ def test_pipeline_stages_equal_brute_force(spark):
 def test_text_stays_after_letters_that_grow_in_lower_case():
     page = "<article>" + "\u0130" * 20 + "<script>x</script> kept words <b>y</b><SCRIPT>z</Script><p>end</p></article>"
     assert html_wrapper.main_text(page, {}, []) == "\u0130" * 20 + " kept words y\nend"
+
+
+def test_links_without_a_shared_band_are_counted():
+    text = " ".join(f"w{k}" for k in range(60))
+    unit = [{"_row": k, "_text": t.encode(), "_own": 0, "_first": 0, "_second": 0, "_copies": c, "_bands": [k]} for k, (t, c) in enumerate(
+        [(text, 1), (text + " x", 2), (text + " y", 3)])]
+    got = ngram_join.verify_unit(unit, 5, ngram_join._Numbers(), (4, 5))
+    assert [(row, links) for row, links, _ in got] == [(0, 5), (1, 4), (2, 3)]
