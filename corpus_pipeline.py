@@ -36,7 +36,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences, each with its token ids."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -8,7 +8,8 @@
    tree over the sequences' free room finds in logarithmic time. What padding remains is then
    closed by cutting: the emptiest sequences are dealt out into the room of the others, so a
    group ends with at most one sequence that isn't full.
-3. The plan (a few numbers per document) meets the ids again on the row, for the checksums.
+3. The plan (a few numbers per document) meets the ids again on the row: every piece is returned
+   with its ids, so the pieces of a sequence in order of their offset are the sequence.
 
 Defined results: a null or empty text is the end-of-document id alone; repeated rows are
 packed each; nothing is dropped; an empty table gives no rows.
@@ -172,30 +173,35 @@ def plan(tokens: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """One row per piece: ``id_col``, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """One row per piece: ``id_col``, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids."""
     tokens = tokenise(docs, tokenizer_path, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = (f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long")
+    schema = (f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long, "
+              "ids array<int>")
     planned = plan(tokens, length)
     joined = tokens.join(planned, "_row").select(id_col, "n", "wide", "ids", "pieces")
 
     def of(b):
         out = {c: [] for c in ("at", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
+        cuts = []
         rows = zip(b.column("n").to_pylist(), b.column("wide").to_pylist(), b.column("ids").to_pylist(), b.column("pieces").to_pylist())
         for at, (n, wide, data, pieces) in enumerate(rows):
             ids = np.frombuffer(data, "<u4" if wide else "<u2").astype("<u4")
             for p in pieces:
                 out["at"].append(at)
-                out["ids_crc32"].append(zlib.crc32(ids[p["start"]:p["start"] + p["length"]].tobytes()))
+                cuts.append(ids[p["start"]:p["start"] + p["length"]])
+                out["ids_crc32"].append(zlib.crc32(cuts[-1].tobytes()))
                 out["doc_tokens"].append(n)
                 for c in ("start", "length", "sequence_id", "offset"):
                     out[c].append(p[c])
         at = pa.array(out.pop("at"), pa.int64())
-        return {id_col: b.column(id_col).take(at), **out}
+        ends = np.cumsum([0, *map(len, cuts)])
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, "<u4"), *cuts]).astype("<i4")))
+        return {id_col: b.column(id_col).take(at), **out, "ids": ids}
     return map_batches(joined, of, schema)
 
 
 def op7_sequence_packing(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")

@@ -267,3 +267,18 @@ def test_links_without_a_shared_band_are_counted():
         [(text, 1), (text + " x", 2), (text + " y", 3)])]
     got = ngram_join.verify_unit(unit, 5, ngram_join._Numbers(), (4, 5))
     assert [(row, links) for row, links, _ in got] == [(0, 5), (1, 4), (2, 3)]
+
+
+def test_packed_sequences_hold_the_ids(spark):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    docs = spark.createDataFrame([(1, "some words"), (2, None), (3, "x y " * 5000)], "doc_id long, text string")
+    got = packing.pack(docs, P.path("word_bpe_49k.json")).toPandas()
+    for i, s in [(1, "some words"), (2, ""), (3, "x y " * 5000)]:
+        pieces = got[got.doc_id == i].sort_values("start").ids
+        assert np.concatenate(list(pieces)).tolist() == [*t.encode(s, add_special_tokens=False).ids, 2]
+    made = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id").ids.apply(lambda x: sum(map(len, x)))
+    assert made.max() == 4096 and (made < 4096).sum() <= 1
+    assert "ids" not in LLM_QUERIES["op7_sequence_packing"](spark, SMALL).columns
