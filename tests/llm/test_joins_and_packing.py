@@ -282,3 +282,14 @@ def test_packed_sequences_hold_the_ids(spark):
     made = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id").ids.apply(lambda x: sum(map(len, x)))
     assert made.max() == 4096 and (made < 4096).sum() <= 1
     assert "ids" not in LLM_QUERIES["op7_sequence_packing"](spark, SMALL).columns
+
+
+def test_slots_decide_over_word_lists():
+    page = ('<body><form id="search"><div class="sidebar-wrapper"><div><p>%s</p><p>%s</p><p>Share this story with all your friends</p>'
+            '<div class="ad">%s</div></div></div></form><div>About us</div></body>')
+    word = lambda k: f"The words of page {k}, " * 8
+    wrapper, main, regions, spine, constant = html_wrapper.learn([page % (word(k), word(k + 50), k) for k in range(6)])
+    texts = {t for _, t, _, _ in html_wrapper.leaves(wrapper)}
+    assert html_wrapper.SLOT in texts and "About us" in texts
+    got = html_wrapper.main_text(page % ("Another", "text", "Buy"), main, regions, spine, constant)
+    assert got == "Another\ntext"
