@@ -284,6 +284,21 @@ def test_packed_sequences_hold_the_ids(spark):
     assert "ids" not in LLM_QUERIES["op7_sequence_packing"](spark, SMALL).columns
 
 
+def test_pages_of_two_templates_on_a_host_keep_their_texts(spark):
+    text = lambda k: f"Paragraph {k} of some length that varies from page to page."
+    kinds = ["<body><article><p>%s</p></article></body>", "<body><main><p>%s</p></main></body>",
+             "<body><div><div><p>%s</p><p>%s</p></div></div><div>Imprint</div></body>", "<body><section><p>%s</p></section></body>"]
+    rows = []
+    for host, some in (("named", (0, 1)), ("bare", (2, 2, 2, 2, 3))):
+        for k in range(30):
+            kind = kinds[some[k % len(some)]]
+            rows.append((len(rows), f"http://{host}/{k}", kind % tuple(text(f"{k}{x}") for x in "ab"[:kind.count("%s")])))
+    got = html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in got:
+        k = r["url"].split("/")[-1]
+        assert r["text"].split("\n") == [text(f"{k}{x}") for x in "ab"[:rows[r["page_id"]][2].count("<p>")]]
+
+
 def test_slots_decide_over_word_lists():
     page = ('<body><form id="search"><div class="sidebar-wrapper"><div><p>%s</p><p>%s</p><p>Share this story with all your friends</p>'
             '<div class="ad">%s</div></div></div></form><div>About us</div></body>')
