@@ -1,13 +1,15 @@
 """Secret scan: base rules plus credentials that an inferred grammar recognises.
 
-1. One pass over all whole texts finds the base spans and, outside them, the candidates: every
-   run of credential characters of at least ``MIN_CANDIDATE`` with a digit and a letter.
+1. One pass over all whole texts finds the base spans and the candidates: what lies outside the
+   spans of every run of credential characters, if at least ``MIN_CANDIDATE`` long with a digit
+   and a letter.
 2. The base spans are the labelled credentials. Per kind, a prefix tree over a bounded sample
    of their values (``SAMPLE`` distinct values, the lowest hashes) is folded into a
    probabilistic automaton: states whose next-character frequencies agree within Hoeffding
    bounds, recursively, are merged (red and blue states in breadth-first order).
-3. Every candidate gets its best log-likelihood ratio, automaton against a character-pair
-   model of ordinary candidates; those above the threshold become spans of kind ``format``.
+3. Character pairs are counted over all candidates of the table, which gives the model of
+   ordinary ones. Every candidate gets its best log-likelihood ratio, automaton against that
+   model; those above the threshold become spans of kind ``format``.
 
 Defined results: null and empty texts have no spans; without labelled credentials of a kind
 there is no automaton for it; repeated rows each get their own result; offsets are code points.
@@ -17,8 +19,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +35,8 @@ BASE = [
 ]
 KINDS = ["assign", "access", "hex", "format"]
 
-#: Distinct labelled values and ordinary candidates that train, and the longest value that does.
-SAMPLE, BACKGROUND, LONGEST = 400, 4000, 200
+#: Distinct labelled values of a kind that train, and the longest value that does.
+SAMPLE, LONGEST = 400, 200
 #: Labelled values that a kind needs for an automaton; significance of the merge test.
 LEAST, ALPHA = 10, 0.01
 MIN_CANDIDATE = 12
@@ -66,11 +69,18 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def candidates(text: str, spans: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Runs of credential characters outside the spans, with a digit and a letter."""
+    """The parts of runs of credential characters outside the spans, with a digit and a letter."""
     if b"9" not in text.encode("utf-8", "surrogatepass").translate(_DIGIT_MARK):
         return []
-    return [(m.start(), m.end(), m[0]) for m in _CANDIDATE.finditer(text)
-            if _DIGIT.search(m[0]) and _LETTER.search(m[0]) and not any(a < m.end() and m.start() < b for _, a, b, _ in spans)]
+    out = []
+    for m in _CANDIDATE.finditer(text):
+        at = m.start()
+        for a, b in [*sorted((a, b) for _, a, b, _ in spans if a < m.end() and m.start() < b), (m.end(), m.end())]:
+            part = text[at:max(at, a)]
+            if len(part) >= MIN_CANDIDATE and _DIGIT.search(part) and _LETTER.search(part):
+                out.append((at, at + len(part), part))
+            at = max(at, b)
+    return out
 
 
 class Automaton:
@@ -152,13 +162,11 @@ class Automaton:
 class Pairs:
     """Character-pair model of ordinary candidates, smoothed by the single characters."""
 
-    def __init__(self, strings: list[str]):
-        self.pair, self.one, self.n = defaultdict(int), defaultdict(int), 0
-        for s in strings:
-            for a, b in zip(" " + s, s + " "):
-                self.pair[a, b] += 1
-                self.one[a] += 1
-                self.n += 1
+    def __init__(self, counts: dict[tuple[str, str], int]):
+        self.pair, self.one, self.n = counts, defaultdict(int), 0
+        for (a, _), n in counts.items():
+            self.one[a] += n
+            self.n += n
 
     def log_likelihood(self, s: str) -> float:
         total = 0.0
@@ -171,7 +179,7 @@ class Pairs:
 class Formats:
     """The automata of all kinds against the model of ordinary candidates."""
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]):
+    def __init__(self, labelled: dict[str, list[str]], ordinary: dict[tuple[str, str], int]):
         self.automata = {k: Automaton(v) for k, v in sorted(labelled.items()) if len(v) >= LEAST}
         self.ordinary = Pairs(ordinary)
 
@@ -197,14 +205,29 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                        f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, base array<{SPAN}>, candidates array<{SPAN}>")
 
 
+def pair_counts(scanned: DataFrame) -> dict[tuple[str, str], int]:
+    """Character pairs of all candidates (a space at both ends) and their numbers."""
+    def run(batches):
+        seen = Counter()
+        for b in batches:
+            for values in b.column("values").to_pylist():
+                for s in values:
+                    s = f" {s} "
+                    seen.update(zip(s, s[1:]))
+        yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in seen], pa.string()), "b": pa.array([b for _, b in seen], pa.string()),
+                                          "n": pa.array(seen.values(), pa.int64())})
+    values = scanned.select(F.transform("candidates", lambda s: s["value"]).alias("values"))
+    counted = values.mapInArrow(run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return {(r["a"], r["b"]): r["n"] for r in counted.collect()}  # at most a row per pair of credential characters
+
+
 def infer(scanned: DataFrame) -> Formats:
-    """Pass 2 on bounded samples: the lowest hashes of the distinct values."""
-    def sample(column: str, where, n: int) -> list[str]:
-        values = (scanned.select(F.explode(column).alias("s")).select(F.col("s.kind").alias("kind"), F.col("s.value").alias("value"))
-                  .where(where & (F.length("value") <= LONGEST)).select("value").distinct())
-        return [r["value"] for r in values.orderBy(F.xxhash64("value"), "value").limit(n).collect()]
-    labelled = {k: sample("base", F.col("kind") == k, SAMPLE) for k, *_ in BASE}
-    return Formats(labelled, sample("candidates", F.lit(True), BACKGROUND))
+    """Pass 2: bounded samples of labelled values (the lowest hashes), pairs of all candidates."""
+    def sample(kind: str) -> list[str]:
+        values = (scanned.select(F.explode("base").alias("s")).select(F.col("s.kind").alias("kind"), F.col("s.value").alias("value"))
+                  .where((F.col("kind") == kind) & (F.length("value") <= LONGEST)).select("value").distinct())
+        return [r["value"] for r in values.orderBy(F.xxhash64("value"), "value").limit(SAMPLE).collect()]
+    return Formats({k: sample(k) for k, *_ in BASE}, pair_counts(scanned))
 
 
 def add_formats(scanned: DataFrame, formats: Formats, id_col: str = "doc_id") -> DataFrame:

@@ -233,3 +233,18 @@ def test_token_counts_of_the_table(spark):
     for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
         assert got[r["doc_id"]]["n_tokens"] == count(r["text"])
         assert got[r["doc_id"]]["tokens_after"] == count(regex.sub(token_counts.PERSONAL, "[MASKED]", r["text"]))
+
+
+def test_ordinary_pairs_cover_all_candidates(spark):
+    r = random.Random(8)
+    values = [f"page{k}.example.com/{r.randint(0, 10**9)}" for k in range(5000)] + ["z1" * 150]
+    scanned = secrets.scan(spark.createDataFrame(list(enumerate(values)), "doc_id long, text string"))
+    model = secrets.infer(scanned).ordinary
+    assert model.n == sum(len(v) + 1 for v in values) and model.pair["z", "1"] >= 150
+
+
+def test_parts_of_a_run_outside_the_base_spans_are_candidates():
+    hexes, rest = "0123456789abcdef01234567", "_Zq8Xw2Lk9Pm4Rt"
+    text = f"see {rest[1:]}-{hexes}{rest} now"
+    got = secrets.candidates(text, secrets.base_spans(text))
+    assert got == [(4, 19, rest[1:] + "-"), (43, 58, rest)] and all(text[a:b] == v for a, b, v in got)
