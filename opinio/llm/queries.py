@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import caps, decontaminate, html_wrapper, licenses, ngram_join, packing, quality, secrets, token_counts, toxicity
+from . import caps, chat_format, decontaminate, html_wrapper, licenses, ngram_join, packing, quality, secrets, token_counts, toxicity
 
 LLM_QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,10 +15,12 @@ LLM_QUERIES = {
     "op10_embedding_near_dedup": caps.op10_embedding_near_dedup,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_sequence_packing": packing.op7_sequence_packing,
+    "op12_chat_formatting": chat_format.op12_chat_formatting,
 }
 
 # op10 has a recall below 1 by its method, so its exact SQL is a test, not an oracle.
 LLM_ORACLE = {
     "op4_benchmark_decontamination": decontaminate.OP4_ORACLE,
     "op5_ngram_jaccard_join": ngram_join.OP5_ORACLE,
+    "op12_chat_formatting": chat_format.OP12_ORACLE,
 }
