@@ -67,6 +67,12 @@ def remainder(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def small(df: DataFrame, text_col: str, rows: int = 200_000, size: int = 16 << 20) -> DataFrame:
+    """``df`` hinted for broadcast if it has at most so many rows and bytes of ``text_col``, else as it is."""
+    n, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and held <= size else df
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import caps, chat_format, decontaminate, html_wrapper, licenses, ngram_join, packing, quality, secrets, token_counts, toxicity
+from . import caps, chat_format, decontaminate, html_wrapper, licenses, ngram_join, packing, quality, ranked_search, secrets, token_counts, toxicity
 
 LLM_QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -16,6 +16,7 @@ LLM_QUERIES = {
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_sequence_packing": packing.op7_sequence_packing,
     "op12_chat_formatting": chat_format.op12_chat_formatting,
+    "op13_ranked_search": ranked_search.op13_ranked_search,
 }
 
 # op10 has a recall below 1 by its method, so its exact SQL is a test, not an oracle.
@@ -23,4 +24,5 @@ LLM_ORACLE = {
     "op4_benchmark_decontamination": decontaminate.OP4_ORACLE,
     "op5_ngram_jaccard_join": ngram_join.OP5_ORACLE,
     "op12_chat_formatting": chat_format.OP12_ORACLE,
+    "op13_ranked_search": ranked_search.OP13_ORACLE,
 }
