@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import caps, chat_format, decontaminate, html_wrapper, licenses, ngram_join, packing, quality, ranked_search, secrets, token_counts, toxicity
+from . import caps, chat_format, decontaminate, html_wrapper, licenses, ngram_join, packing, quality, ranked_search, runs, secrets, token_counts, toxicity
 
 LLM_QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,6 +15,7 @@ LLM_QUERIES = {
     "op10_embedding_near_dedup": caps.op10_embedding_near_dedup,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_sequence_packing": packing.op7_sequence_packing,
+    "op11_periodic_runs": runs.op11_periodic_runs,
     "op12_chat_formatting": chat_format.op12_chat_formatting,
     "op13_ranked_search": ranked_search.op13_ranked_search,
 }
