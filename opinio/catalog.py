@@ -665,7 +665,7 @@ u AS (SELECT page_id, url, row_number() OVER (ORDER BY page_id) AS n FROM parsed
 SELECT page_id, url, n, 'Untitled Article ' || CAST(n AS VARCHAR) AS title,
        {D.article_filename('url', "'Untitled Article ' || CAST(n AS VARCHAR)")} AS file_name FROM u""")
 def q_untitled_names(spark, sf):
-    p = P.parse_pages(_pages(spark, sf)).where(F.col("container").isNotNull() & (F.size("paragraphs") > 0))
+    p = P.parse_pages(_pages(spark, sf)).where(F.col("found") & (F.size("paragraphs") > 0))
     return P.untitled_names(p, [F.col("page_id").asc()])
 
 

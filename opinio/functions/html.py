@@ -1,9 +1,9 @@
 """HTML column builders for landed pages.
 
-Pages are parsed with native regular expressions inside the Spark job, not with a per-row
-HTML library: script/style/comment blocks are removed first, then the container, then
-paragraphs. The extraction rules follow the reference's selector cascades; regexes that
-the DuckDB oracle must also run stay inside RE2 (no look-around).
+Pages are parsed natively inside the Spark job, not with a per-row HTML library: script/style/
+comment blocks are removed first, then one pass over the tags gives the element structure
+(``structure``) on which container, paragraphs, figures and players are looked up. The extraction
+rules follow the reference's selector cascades.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import structure as S
 from .text import ustrip
 
 # ------------------------------------ fixed values -------------------------------------
@@ -117,42 +118,81 @@ def page_title(html: Column) -> Column:
     return F.coalesce(*cands)
 
 
+#: Divs whose descendant paragraphs are the fallback body.
+TEXT_BLOCK = "(?is)^<div\\b[^>]*" + _quoted("class", "{any}*(?:" + "|".join(TEXT_BLOCK_HINTS) + "){any}*")
+
+
+def container_at(segs: Column, tree: Column) -> Column:
+    """The place of the first element of the first selector that matches (article, then the
+    known body divs); null if none does."""
+    def rank(n, i):
+        tag = S.own_tag(F.get(segs, i))
+        by_class = S.let(tag, lambda t: F.coalesce(*[F.when(t.rlike(open_tag("div", c)), k) for k, c in enumerate(BODY_DIV_CLASSES, 1)]))
+        return F.struct(F.when(n["name"] == "article", 0).when(n["name"] == "div", by_class).alias("rank"), (i + 1).alias("at"))
+    return F.array_min(F.filter(F.transform(tree, rank), lambda x: x["rank"].isNotNull()))["at"]
+
+
+def text_block_paragraphs(tree: Column) -> Column:
+    """C5 fallback: the places of the paragraphs inside divs whose class mentions content/body/text
+    (``tree`` hinted by ``TEXT_BLOCK``), each once, in document order."""
+    return F.filter(S.places(tree, "p"), lambda i: S.node(tree, i)["hinted"])
+
+
+def _element(segs: Column, tree: Column, at: Column) -> Column:
+    """The HTML of the element at a place; of the whole page for place 0."""
+    return S.inner_html(segs, F.greatest(at, F.lit(1)), F.when(at == 0, F.size(segs) + 1).otherwise(S.node(tree, at)["end"]))
+
+
+def _mentions(html: Column) -> Column:
+    low, found = F.lower(html), F.lit(False)
+    for h in EXCLUDE_PARENT_HINTS:
+        found = found | (F.instr(low, h) > 0)
+    return found
+
+
+def _texts(fragments: Column, whole: Column) -> Column:
+    """Trimmed texts that are not empty; if there are none, the whole text."""
+    return S.let(F.filter(F.transform(fragments, text_of), lambda x: x != ""), lambda ps: F.when(F.size(ps) > 0, ps).otherwise(
+        F.filter(F.array(text_of(whole)), lambda x: x != "")))
+
+
+def container_paragraphs(segs: Column, tree: Column, at: Column, end: Column) -> Column:
+    """The paragraphs of the container [at, end). A paragraph is left out if the HTML of its own
+    parent mentions footer or caption; if none is left, the whole text is the paragraph."""
+    def kept(ps: Column, whole: Column) -> Column:
+        parent = lambda p: S.node(tree, p)["parent"]
+        # a parent lies in the container or is the container: what the whole does not mention, no parent does
+        shunned = F.when(_mentions(whole), F.filter(F.array_distinct(F.transform(ps, parent)), lambda q: _mentions(_element(segs, tree, q)))) \
+            .otherwise(F.array().cast("array<int>"))
+        return S.let(shunned, lambda bad: _texts(F.transform(
+            F.filter(ps, lambda p: ~F.array_contains(bad, parent(p))), lambda p: _element(segs, tree, p)), whole))
+    return S.let(S.inner_html(segs, F.greatest(at, F.lit(1)), end), lambda whole: S.let(
+        S.between(S.places(tree, "p"), at, end), lambda ps: kept(ps, whole)))
+
+
+def fallback_paragraphs(segs: Column, tree: Column) -> Column:
+    """C6 over the C5 fallback, whose paragraphs all have one new parent: the element of them all."""
+    return S.let(F.transform(text_block_paragraphs(tree), lambda p: _element(segs, tree, p)), lambda ps: S.let(
+        F.array_join(ps, ""), lambda whole: _texts(F.when(_mentions(whole), F.array().cast("array<string>")).otherwise(ps), whole)))
+
+
+def _whole_page(html: Column, then) -> Column:
+    """``then(segs, tree, at, end)`` of a fragment taken as a whole."""
+    return S.let(S.segments(html), lambda segs: S.let(S.nodes(segs, TEXT_BLOCK), lambda tree: then(
+        segs, tree, F.lit(0), F.size(segs) + 1)))
+
+
 def body_container(html: Column) -> Column:
-    """Inner HTML of the first matching container (article, then known body divs); NULL if none."""
+    """C5 on a page's HTML alone: inner HTML of the container; NULL if there is none."""
     out = F.when(has_element(html, "article"), element_inner(html, "article"))
     for cls in BODY_DIV_CLASSES:
         out = out.when(has_element(html, "div", cls), element_inner(html, "div", cls))
     return out
 
 
-def text_block_paragraphs(html: Column) -> Column:
-    """C5 fallback: ``<p>`` elements inside divs whose class mentions content/body/text."""
-    hint = "|".join(TEXT_BLOCK_HINTS)
-    blocks = elements_inner(html, "div", "(?is)<div\\b[^>]*" + _quoted("class", "{any}*(?:" + hint + "){any}*") + "[^>]*>")
-    # a block inside another one is read with it: its paragraphs count once
-    return F.array_distinct(F.flatten(F.transform(blocks, lambda b: paragraph_fragments(b))))
-
-
-def paragraph_fragments(container: Column) -> Column:
-    """Raw ``<p>`` contents in order. A paragraph ends at ``</p>``, at the next ``<p>`` (HTML
-    closes an open paragraph there) or at the container end."""
-    parts = F.split(container, "(?i)<p\\b[^>]*>")
-    tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
-    return F.transform(tail, lambda x: F.element_at(F.split(x, "(?i)</p\\s*>", 2), 1))
-
-
 def paragraphs(container: Column) -> Column:
-    """Paragraph texts, trimmed, non-empty; all dropped when the parent's HTML mentions
-    footer or caption (the reference tests the parent's full HTML); if none, the whole text."""
-    low = F.lower(container)
-    excluded = None
-    for h in EXCLUDE_PARENT_HINTS:
-        c = F.instr(low, h) > 0
-        excluded = c if excluded is None else (excluded | c)
-    ps = F.filter(F.transform(paragraph_fragments(container), text_of), lambda x: x != "")
-    ps = F.when(excluded, F.array().cast("array<string>")).otherwise(ps)
-    whole = text_of(container)
-    return F.when(F.size(ps) > 0, ps).when(whole != "", F.array(whole)).otherwise(F.array().cast("array<string>"))
+    """C6 on the HTML of a container."""
+    return _whole_page(container, container_paragraphs)
 
 
 def base_of(url: Column) -> Column:
@@ -175,43 +215,51 @@ def attr(tag: Column, name: str) -> Column:
     return F.when(d != "", d).otherwise(s)
 
 
-def images(container: Column, no_caption: str) -> Column:
-    """array<struct<src, width, caption>> of kept images in document order.
+def images_in(segs: Column, tree: Column, imgs: Column, no_caption: str) -> Column:
+    """array<struct<src, width, caption>> of the kept images among the places ``imgs``, in order.
 
     Width below 100 drops the image (a non-numeric width is kept [ours]; the reference
-    raised and lost the article); no src drops it; the caption is the enclosing figure's
-    figcaption text, else the "none" marker.
+    raised and lost the article); no src drops it; the caption is the text of the first
+    figcaption in the nearest figure around the image, else the "none" marker.
     """
-    segs = F.split(container, "(?i)(?=<figure\\b)|(?<=</figure>)")
-
-    def seg_imgs(seg):
-        in_fig = seg.rlike("(?i)^<figure\\b")
-        cap_html = F.regexp_extract(seg, "(?is)<figcaption\\b[^>]*>(.*?)</figcaption>", 1)
-        has_cap = seg.rlike("(?i)<figcaption\\b")
-        caption = F.when(in_fig & has_cap, text_of(cap_html)).otherwise(F.lit(no_caption))
-        tags = F.regexp_extract_all(seg, F.lit("(?i)<img\\b[^>]*>"), F.lit(0))
-        return F.transform(tags, lambda t: F.struct(attr(t, "src").alias("src"),
-                                                    attr(t, "width").alias("width"),
-                                                    caption.alias("caption")))
-
-    allimgs = F.flatten(F.transform(segs, seg_imgs))
-    return F.filter(allimgs, lambda i: (F.coalesce(i["width"].try_cast("int"), F.lit(MIN_IMAGE_WIDTH)) >= MIN_IMAGE_WIDTH)
+    def image(caps: Column, i: Column) -> Column:
+        fig = S.node(tree, i)["figure"]
+        cap = F.when(fig > 0, F.array_min(F.filter(caps, lambda c: (c > fig) & (c < S.node(tree, fig)["end"]))))
+        return S.let(S.own_tag(F.get(segs, i - 1)), lambda t: F.struct(
+            attr(t, "src").alias("src"), attr(t, "width").alias("width"), S.let(cap, lambda c: F.when(
+                c.isNotNull(), text_of(_element(segs, tree, c))).otherwise(no_caption)).alias("caption")))
+
+    found = S.let(S.places(tree, "figcaption"), lambda caps: F.transform(imgs, lambda i: image(caps, i)))
+    return F.filter(found, lambda i: (F.coalesce(i["width"].try_cast("int"), F.lit(MIN_IMAGE_WIDTH)) >= MIN_IMAGE_WIDTH)
                     & (i["src"] != ""))
 
 
+def videos_in(segs: Column, tree: Column, at: Column, end: Column) -> Column:
+    """The videos of [at, end): video elements, then player iframes, then the first video, else the
+    first iframe, of each media-player container; entries without src are dropped. (Same element may
+    repeat, as in the reference.)"""
+    tag = lambda i: S.own_tag(F.get(segs, i - 1))
+    inside = lambda *names: S.between(S.places(tree, *names), at, end)
+    player = "(?is)^<div\\b[^>]*" + _quoted("data-e2e", "media-player")
+
+    def all_of(vids: Column, frames: Column) -> Column:
+        boxes = F.filter(inside("div"), lambda d: F.get(segs, d - 1).rlike(player))
+        first = F.transform(boxes, lambda d: S.let(S.node(tree, d)["end"], lambda e: F.coalesce(
+            F.get(S.between(vids, d, e), F.lit(0)), F.get(S.between(frames, d, e), F.lit(0)))))
+        return F.concat(vids, F.filter(frames, lambda f: F.instr(attr(tag(f), "src"), "player") > 0),
+                        F.filter(first, lambda x: x.isNotNull()))
+    chosen = S.let(inside("video"), lambda vids: S.let(inside("iframe"), lambda frames: all_of(vids, frames)))
+    return F.filter(F.transform(chosen, lambda i: F.struct(attr(tag(i), "src").alias("src"))), lambda v: v["src"] != "")
+
+
+def images(container: Column, no_caption: str) -> Column:
+    """C8 on the HTML of a container."""
+    return _whole_page(container, lambda segs, tree, at, end: images_in(segs, tree, S.places(tree, "img"), no_caption))
+
+
 def videos(container: Column) -> Column:
-    """Video elements, then player iframes, then the first video/iframe of each
-    media-player container; entries without src are dropped. (Same element may repeat,
-    as in the reference.)"""
-    vids = F.regexp_extract_all(container, F.lit("(?i)<video\\b[^>]*>"), F.lit(0))
-    ifr = F.filter(F.regexp_extract_all(container, F.lit("(?i)<iframe\\b[^>]*>"), F.lit(0)),
-                   lambda t: F.instr(attr(t, "src"), "player") > 0)
-    boxes = elements_inner(container, "div", "(?is)<div\\b[^>]*" + _quoted("data-e2e", "media-player") + "[^>]*>")
-    inner = F.transform(boxes, lambda b: F.coalesce(
-        F.nullif(F.regexp_extract(b, "(?i)(<video\\b[^>]*>)", 1), F.lit("")),
-        F.nullif(F.regexp_extract(b, "(?i)(<iframe\\b[^>]*>)", 1), F.lit(""))))
-    tags = F.concat(vids, ifr, F.filter(inner, lambda x: x.isNotNull()))
-    return F.filter(F.transform(tags, lambda t: F.struct(attr(t, "src").alias("src"))), lambda v: v["src"] != "")
+    """C9 on the HTML of a container."""
+    return _whole_page(container, videos_in)
 
 
 # Result-block containers of the search page, tried in order, and the title

@@ -2,19 +2,25 @@
 M3 (exact first, else first fuzzy hit in report order), M4 (containment only), D4.
 
 M2 is ``a ⊆ b  or  b ⊆ a  or  |words(a) ∩ words(b)| ≥ 3`` on normalised titles. As a
-join condition that is a nested loop over articles × report titles; here it is two equi
-joins whose candidates are verified exactly (no pair is lost, none is invented):
-
-* overlap ≥ t — prefix filter: order each title's distinct words by global rarity (word
-  frequency over both sides, ties by the word) and keep the first ``n - t + 1``; two sets
-  sharing ≥ t words share a word in those prefixes. Equi-join on prefix words, verify with
-  ``size(array_intersect) >= t``.
-* containment — a string of length ≥ q is inside another only if its rarest q-gram is;
-  join that one gram to every q-gram of the other side and verify with ``contains``.
-  Strings shorter than q (the empty string included) join on themselves against the
-  other side's k-grams of their own length k.
-
-Hot words or grams only make their own candidate lists long (AQE splits skewed join
+join condition that is a nested loop over articles × report titles; here it is equi joins
+whose candidates are verified exactly (no pair is lost, none is invented):
+
+* overlap ≥ t — every title's words become numbers, those that only one side has are left
+  out, and the rest is ordered by global rarity. Two titles that share ≥ t words share one among
+  the first ``n - t + 1`` of each. Equi-join on these words with position filtering: a pair is
+  kept where the join word is its rarest common one, so it comes up once and needs no
+  duplicate removal, and the words behind that position must share t - 1 more.
+* containment — every word of a string but the first and the last is a whole word of the string
+  that contains it. A string with such inner words probes with the rarest of them; one of two
+  words with the characters around its white space; one word is sought inside the other
+  side's distinct words by a substring of at most q characters. Where overlap decides too,
+  a contained string with t inner words is left to it.
+
+M3 needs only the first hit of each article, so it works through the report in ranges of its order,
+the first one small and each next one larger: articles that found a match leave, and the
+pairs of a range are reduced to the first per article before anything else reads them.
+
+Hot words only make their own candidate lists long (the optimizer splits skewed join
 partitions); nothing is collected per group and nothing is capped.
 """
 
@@ -24,12 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WS
-from ..plans.joins import bounded_broadcast
+from ..plans.scratch import materialise
 
-Q = 8                 # q-gram length of the containment join
+Q = 8                 # longest substring that probes for a string of one or two words
 MIN_COMMON = 3        # fixed value: "at least three common words"
-SHORT_BROADCAST_ROWS = 10_000  # short probes tested by a broadcast nested loop up to this many
-VERIFY_BROADCAST_ROWS = 50_000  # titles (word arrays) broadcast for verification up to this many
+FIRST_RANGE, GROWTH = 16_384, 16   # report entries of the first range of M3; each next is larger by this factor
 NORM_DROP = "[^\\p{L}\\p{N}_" + WS[1:-1] + "]"
 
 
@@ -58,74 +63,137 @@ def match_exact(articles: DataFrame, report_dedup: DataFrame) -> DataFrame:
 
 # ------------------------------------ M2 -----------------------------------------------
 
+def word_numbers(a: DataFrame, r: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides ``(id, norm)`` as tables ``(id, norm, ws)``: the numbers of the title's words that
+    both sides know, rarest first (by one order for both)."""
+    sides = (a.select(F.lit(0).alias("side"), F.col("a_id").alias("id"), F.col("a_norm").alias("norm"))
+             .unionByName(r.select(F.lit(1).alias("side"), F.col("r_id").alias("id"), F.col("r_norm").alias("norm"))))
+    sides = materialise(sides, "titles", "id")
+    words = sides.select("side", "id", F.explode(title_words(F.col("norm"))).alias("w"))
+    known = (words.groupBy("w").agg(F.count(F.lit(1)).alias("f"), F.min("side").alias("lo"), F.max("side").alias("hi"))
+             .where("lo <> hi").select("w", "f", F.monotonically_increasing_id().alias("n")))
+    known = materialise(known, "title-words")           # the numbers are fixed from here on
+    numbers = (words.join(known, "w").groupBy("side", "id")
+               .agg(F.sort_array(F.collect_list(F.struct("f", "n")))["n"].alias("ws")))
+    full = materialise(sides.join(numbers, ["side", "id"], "left")
+                       .withColumn("ws", F.coalesce("ws", F.array().cast("array<bigint>"))), "title-numbers", "id")
+    one = lambda side, name: full.where(F.col("side") == side).select(
+        F.col("id").alias(f"{name}_id"), F.col("norm").alias(f"{name}_norm"), F.col("ws").alias(f"{name}_ws"))
+    return one(0, "a"), one(1, "r")
+
+
 def overlap_pairs(a: DataFrame, r: DataFrame, t: int = MIN_COMMON) -> DataFrame:
-    """Pairs ``(a_id, r_id)`` whose word sets share at least ``t`` words (exact)."""
-    toks = (a.select(F.lit(0).alias("side"), F.col("a_id").alias("id"), F.explode("a_words").alias("w"))
-            .unionByName(r.select(F.lit(1).alias("side"), F.col("r_id").alias("id"), F.explode("r_words").alias("w"))))
-    freq = toks.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
-    ordered = (toks.join(freq, "w")
-               .groupBy("side", "id").agg(F.sort_array(F.collect_list(F.struct("f", "w"))).alias("ws"))
-               .where(F.size("ws") >= t))
-    prefix = ordered.select("side", "id", F.explode(F.slice("ws", F.lit(1), F.size("ws") - (t - 1))).alias("p"))
-    pa = prefix.where(F.col("side") == 0).select(F.col("id").alias("a_id"), F.col("p.w").alias("w"))
-    pr = prefix.where(F.col("side") == 1).select(F.col("id").alias("r_id"), F.col("p.w").alias("w"))
-    # A pair appears once per shared prefix word; dedupe before verifying (pairs with long
-    # titles repeat most and are the costly ones to verify).
-    cand = pa.join(pr, "w").select("a_id", "r_id").distinct()
-    # Verification needs both word sets; a side proven small by a row count is broadcast,
-    # otherwise the candidates are shuffled to it.
-    aw = bounded_broadcast(a.select("a_id", "a_words"), VERIFY_BROADCAST_ROWS)
-    rw = bounded_broadcast(r.select("r_id", "r_words"), VERIFY_BROADCAST_ROWS)
-    return (cand.join(aw, "a_id").join(rw, "r_id")
-            .where(F.size(F.array_intersect("a_words", "r_words")) >= t)
+    """Pairs ``(a_id, r_id)`` whose word numbers share at least ``t`` (exact, each pair once)."""
+    def prefix(side: DataFrame, name: str) -> DataFrame:
+        ws = f"{name}_ws"
+        return side.where(F.size(ws) >= t).select(
+            f"{name}_id", ws, F.posexplode(F.slice(ws, F.lit(1), F.size(ws) - (t - 1))).alias(f"{name}_at", "w"))
+    after = lambda name: F.slice(f"{name}_ws", F.col(f"{name}_at") + 2, F.size(f"{name}_ws"))
+    before = lambda name: F.slice(f"{name}_ws", F.lit(1), F.col(f"{name}_at"))
+    return (prefix(a, "a").join(prefix(r, "r"), "w")
+            .where((F.size(F.array_intersect(after("a"), after("r"))) >= t - 1)
+                   & ~F.arrays_overlap(before("a"), before("r")))
             .select("a_id", "r_id"))
 
 
-def _grams(s: Column, k: int | Column) -> Column:
-    """All substrings of length ``k`` in order (empty array if the string is shorter).
+def _tokens(c: Column) -> Column:
+    return F.split(c, WS + "+")
+
+
+def inner_words(c: Column) -> Column:
+    """The words of a string but the first and the last token: whole words wherever it is contained."""
+    tokens = _tokens(c)
+    return F.array_distinct(F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 2, F.lit(0))))
+
 
-    Repeats are kept: rarity only steers which gram probes, and candidate pairs are made
-    distinct before verification, so exactness does not depend on it (and an
-    ``array_distinct`` over thousands of grams would cost quadratic time per string)."""
-    n = F.length(s) - k + 1
-    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(s, i, k))) \
+def _substrings(c: Column, k: int) -> Column:
+    """All substrings of ``k`` characters of a word."""
+    return F.when(F.length(c) >= k, F.transform(F.sequence(F.lit(1), F.length(c) - (k - 1)), lambda i: F.substring(c, i, k))) \
         .otherwise(F.array().cast("array<string>"))
 
 
-def contained_pairs(x: DataFrame, y: DataFrame, q: int = Q) -> DataFrame:
-    """Pairs ``(x_id, y_id)`` with ``x_str`` a substring of ``y_str`` (exact).
+def _gap_keys(c: Column, sizes: list[tuple[int, int]]) -> Column:
+    """For every white space of a string and every (a, b): the ``a`` characters of the word before it
+    and the ``b`` of the word behind it."""
+    def keys(tokens: Column, a: int, b: int) -> Column:
+        word = lambda i: F.element_at(tokens, i)
+        return F.transform(F.sequence(F.lit(1), F.size(tokens) - 1), lambda i: F.when(
+            (F.length(word(i)) >= a) & (F.length(word(i + 1)) >= b), F.concat(F.right(word(i), F.lit(a)), F.lit(" "), F.left(word(i + 1), F.lit(b)))))
+    every = F.transform(F.array(_tokens(c)), lambda t: F.when(F.size(t) > 1, F.array_distinct(F.array_compact(
+        F.flatten(F.array(*[keys(t, a, b) for a, b in sizes]))))).otherwise(F.array().cast("array<string>")))
+    return every[0]
 
-    ``x``: (x_id, x_str); ``y``: (y_id, y_str).
+
+def contained_pairs(x: DataFrame, y: DataFrame, q: int = Q, proper: bool = False, beside_overlap: int | None = None) -> DataFrame:
+    """Pairs ``(x_id, y_id)`` with ``x_str`` a substring of ``y_str`` (exact, each pair once).
+
+    ``x``: (x_id, x_str); ``y``: (y_id, y_str), both written tables (they are read several times).
+    ``proper``: without equal strings; ``beside_overlap``: without pairs that share as many words.
+    """
+    n_tokens = F.size(_tokens(F.col("x_str")))
+    inner = x.select("x_id", "x_str", inner_words(F.col("x_str")).alias("inner"), n_tokens.alias("tokens"))
+    words = y.select("y_id", F.length("y_str").alias("size"), F.explode(F.array_distinct(_tokens(F.col("y_str")))).alias("w"))
+    # strings with inner words: the rarest of them (one that y lacks rules the string out)
+    asked = inner.where(F.size("inner") > 0)
+    seen = words.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
+    probe = (asked.select("x_id", F.explode("inner").alias("w"), F.size("inner").alias("of")).join(seen, "w")
+             .groupBy("x_id", "of").agg(F.min_by("w", F.struct("f", "w")).alias("w"), F.count(F.lit(1)).alias("have"))
+             .where("have = of").select("x_id", "w"))
+    found = probe.join(words, "w").select("x_id", "y_id")
+    # one white space: the characters around it
+    two = inner.where((F.col("tokens") == 2) & (F.size("inner") == 0)).select("x_id", _tokens(F.col("x_str")).alias("t"))
+    near = lambda i: F.least(F.length(F.get("t", F.lit(i))), F.lit(q // 2 - 1))
+    two = two.select("x_id", near(0).alias("a"), near(1).alias("b"), "t")
+    # what probes there are: at most (q / 2)^2 pairs of sizes, q lengths, and whether one is empty
+    asks = (two.select(F.struct("a", "b").alias("gap"), F.lit(None).cast("int").alias("length"))
+            .unionByName(inner.where("tokens = 1").select(F.lit(None).cast("struct<a:int,b:int>").alias("gap"), F.least(F.length("x_str"), F.lit(q)).alias("length")))
+            .agg(F.collect_set("gap").alias("gaps"), F.collect_set("length").alias("lengths")).first())
+    sizes = sorted((g["a"], g["b"]) for g in asks["gaps"])
+    lengths = sorted(n for n in asks["lengths"] if n)
+    two = two.select("x_id", F.concat(F.right(F.get("t", F.lit(0)), F.col("a")), F.lit(" "), F.left(F.get("t", F.lit(1)), F.col("b"))).alias("g"))
+    if sizes:
+        gaps = y.select("y_id", F.explode(_gap_keys(F.col("y_str"), sizes)).alias("g"))
+        found = found.unionByName(two.select("x_id", "g").join(gaps, "g").select("x_id", "y_id"))
+    checked = found.join(x, "x_id").join(y, "y_id").where(F.instr(F.col("y_str"), F.col("x_str")) > 0)
+    if proper:
+        checked = checked.where(F.col("x_str") != F.col("y_str"))
+    if beside_overlap is not None:
+        common = F.array_intersect(title_words(F.col("x_str")), title_words(F.col("y_str")))
+        checked = checked.where(F.size(common) < beside_overlap)
+    checked = checked.select("x_id", "y_id")
+    # one word: inside a word of y, found among y's distinct words
+    one = inner.where("tokens = 1 AND x_str <> ''").select("x_id", "x_str", F.substring("x_str", 1, q).alias("g"))
+    if lengths:
+        grams = (words.select("w").distinct().select("w", F.explode(F.array_distinct(F.flatten(F.array(
+            *[_substrings(F.col("w"), n) for n in lengths])))).alias("g")))
+        holds = one.join(grams, "g").where(F.instr(F.col("w"), F.col("x_str")) > 0).select("x_id", F.length("x_str").alias("x_size"), "w")
+        pairs = holds.join(words, "w")
+        pairs = pairs.where(F.col("x_size") < F.col("size")) if proper else pairs
+        checked = checked.unionByName(pairs.select("x_id", "y_id").distinct())
+    # the empty string is in every other (the key is empty in every row, and no literal)
+    empty = inner.where("x_str = ''").select("x_id", F.substring("x_str", 1, 0).alias("g"))
+    if 0 in asks["lengths"]:
+        every = y.where(F.col("y_str") != "") if proper else y
+        checked = checked.unionByName(empty.join(every.select("y_id", F.substring("y_str", 1, 0).alias("g")), "g").select("x_id", "y_id"))
+    return checked
+
+
+def _named(side: DataFrame, name: str, as_: str) -> DataFrame:
+    return side.select(F.col(f"{name}_id").alias(f"{as_}_id"), F.col(f"{name}_norm").alias(f"{as_}_str"))
+
+
+def containment_either(a: DataFrame, r: DataFrame, beside_overlap: int | None = None) -> DataFrame:
+    """Pairs with ``a ⊆ r`` or ``r ⊆ a`` (on the prepared strings), each once.
+
+    ``beside_overlap``: only the pairs that share fewer words than that; a contained string with as
+    many inner words shares them.
     """
-    yg = y.select("y_id", F.explode(_grams(F.col("y_str"), q)).alias("g"))
-    gfreq = yg.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
-    # Long probes: the rarest q-gram on the y side (grams absent from y rule the string out).
-    xl = x.where(F.length("x_str") >= q)
-    probe = (xl.select("x_id", F.explode(_grams(F.col("x_str"), q)).alias("g"))
-             .join(gfreq, "g")
-             .groupBy("x_id").agg(F.min_by("g", F.struct("f", "g")).alias("g")))
-    long_c = probe.join(yg, "g").select("x_id", "y_id")
-    # Short probes (length < q). If a row count proves them few, test them directly with a
-    # broadcast nested-loop ``instr`` join; beyond the bound, join each string against
-    # y's k-grams of its own length k (the distinct lengths are at most q small integers).
-    xs = x.where(F.length("x_str") < q).select("x_id", F.col("x_str").alias("g"), F.length("x_str").alias("k"))
-    n_short = xs.limit(SHORT_BROADCAST_ROWS + 1).count()
-    short_c = None
-    if 0 < n_short <= SHORT_BROADCAST_ROWS:
-        short_c = (y.select("y_id", "y_str").join(F.broadcast(xs), F.instr(F.col("y_str"), F.col("g")) > 0)
-                   .select("x_id", "y_id"))
-    elif n_short > SHORT_BROADCAST_ROWS:
-        ks = [r[0] for r in xs.select("k").distinct().collect()]
-        for k in sorted(ks):
-            grams = F.array(F.lit("")) if k == 0 else _grams(F.col("y_str"), k)
-            yk = y.select("y_id", F.explode(grams).alias("g"))
-            part = xs.where(F.col("k") == k).join(yk, "g").select("x_id", "y_id")
-            short_c = part if short_c is None else short_c.unionByName(part)
-    cand = long_c if short_c is None else long_c.unionByName(short_c)
-    cand = cand.distinct()
-    return (cand.join(x, "x_id").join(y, "y_id")
-            .where(F.instr(F.col("y_str"), F.col("x_str")) > 0)
-            .select("x_id", "y_id"))
+    def few(x: DataFrame) -> DataFrame:
+        return x if beside_overlap is None else x.where(F.size(inner_words(F.col("x_str"))) < beside_overlap)
+    forth = contained_pairs(few(_named(a, "a", "x")), _named(r, "r", "y"), beside_overlap=beside_overlap)
+    back = contained_pairs(few(_named(r, "r", "x")), _named(a, "a", "y"), proper=True, beside_overlap=beside_overlap)
+    return (forth.select(F.col("x_id").alias("a_id"), F.col("y_id").alias("r_id"))
+            .unionByName(back.select(F.col("y_id").alias("a_id"), F.col("x_id").alias("r_id"))))
 
 
 def _sides(articles: DataFrame, report_dedup: DataFrame, norm) -> tuple[DataFrame, DataFrame]:
@@ -134,56 +202,69 @@ def _sides(articles: DataFrame, report_dedup: DataFrame, norm) -> tuple[DataFram
     return a, r
 
 
-def containment_either(a: DataFrame, r: DataFrame) -> DataFrame:
-    """Pairs with ``a ⊆ r`` or ``r ⊆ a`` (on the prepared strings)."""
-    a_in_r = contained_pairs(a.select(F.col("a_id").alias("x_id"), F.col("a_norm").alias("x_str")),
-                             r.select(F.col("r_id").alias("y_id"), F.col("r_norm").alias("y_str")))
-    r_in_a = contained_pairs(r.select(F.col("r_id").alias("x_id"), F.col("r_norm").alias("x_str")),
-                             a.select(F.col("a_id").alias("y_id"), F.col("a_norm").alias("y_str")))
-    return (a_in_r.select(F.col("x_id").alias("a_id"), F.col("y_id").alias("r_id"))
-            .unionByName(r_in_a.select(F.col("y_id").alias("a_id"), F.col("x_id").alias("r_id"))))
+def similar_pairs(a: DataFrame, r: DataFrame) -> DataFrame:
+    """M2 on the tables of ``word_numbers``: each similar pair ``(a_id, r_id)`` once."""
+    return overlap_pairs(a, r).unionByName(containment_either(a, r, beside_overlap=MIN_COMMON))
 
 
 def match_fuzzy(articles: DataFrame, report_dedup: DataFrame) -> DataFrame:
     """M2: every (article, report title) pair that is similar; ``r_seq`` identifies the title."""
-    a, r = _sides(articles, report_dedup, norm_title)
-    aw = a.select("a_id", title_words(F.col("a_norm")).alias("a_words"))
-    rw = r.select("r_id", title_words(F.col("r_norm")).alias("r_words"))
-    pairs = overlap_pairs(aw, rw).unionByName(containment_either(a, r)).distinct()
-    return pairs.select("a_id", F.col("r_id").alias("r_seq"))
+    a, r = word_numbers(*_sides(articles, report_dedup, norm_title))
+    return similar_pairs(a, r).select("a_id", F.col("r_id").alias("r_seq"))
 
 
 def match_containment(articles: DataFrame, report_dedup: DataFrame) -> DataFrame:
     """M4: case-insensitive containment either way, no punctuation removal."""
     a, r = _sides(articles, report_dedup, F.lower)
-    return containment_either(a, r).distinct().select("a_id", F.col("r_id").alias("r_seq"))
+    return containment_either(materialise(a, "titles", "a_id"), materialise(r, "titles", "r_id")).select("a_id", F.col("r_id").alias("r_seq"))
 
 
 # ------------------------------------ M3 / D4 ------------------------------------------
 
+def _ranges(r: DataFrame, first: int, growth: int) -> list[tuple[int | None, int | None]]:
+    """Ranges (after, up to) of the report order: about ``first`` entries, then ever larger ones.
+    The bounds are approximate percentiles; any bounds give the same matches."""
+    n = r.count()
+    sizes, shares = first, []
+    while sizes < n:
+        shares.append(sizes / n)
+        sizes *= growth
+    if not shares:
+        return [(None, None)]
+    bounds = r.agg(F.percentile_approx("r_id", shares, 10_000)).first()[0]
+    return list(zip([None, *bounds], [*bounds, None]))
+
+
+def first_fuzzy(a: DataFrame, r: DataFrame, first: int = FIRST_RANGE, growth: int = GROWTH) -> DataFrame:
+    """M3's fallback: ``(a_id, r_seq)`` of the first similar title in report order, for the articles
+    that have one."""
+    found = None
+    for after, upto in _ranges(r, first, growth):
+        part = r
+        part = part if after is None else part.where(F.col("r_id") > after)
+        part = part if upto is None else part.where(F.col("r_id") <= upto)
+        hits = materialise(similar_pairs(a, part).groupBy("a_id").agg(F.min("r_id").alias("r_seq")), "first-matches")
+        found = hits if found is None else found.unionByName(hits)
+        if upto is not None:
+            a = materialise(a.join(hits, "a_id", "left_anti"), "unmatched-titles", "a_id")
+            if a.isEmpty():
+                break
+    return found
+
+
 def match_best(articles: DataFrame, report_dedup: DataFrame) -> DataFrame:
     """M3: the exact match if there is one, else the fuzzy hit that comes first in the report.
 
-    Articles with an exact match leave before the fuzzy candidates are made, and each candidate
-    branch keeps only the first report entry per article (a partial minimum) before the branches
-    meet, so the fuzzy pairs are never all there at once.
+    Articles with an exact match leave before the fuzzy candidates are made.
     """
     exact = (articles.select("a_id", "a_title")
              .join(report_dedup.select(F.col("title").alias("a_title"), F.col("seq").alias("r_seq")), "a_title")
-             .select("a_id", "r_seq", F.lit(0).alias("prio")))
+             .select("a_id", "r_seq", F.lit("exact").alias("how")))
     rest = articles.join(exact.select("a_id"), "a_id", "left_anti")
-    a, r = _sides(rest, report_dedup, norm_title)
-    aw = a.select("a_id", title_words(F.col("a_norm")).alias("a_words"))
-    rw = r.select("r_id", title_words(F.col("r_norm")).alias("r_words"))
-    first = lambda pairs: pairs.groupBy("a_id").agg(F.min("r_id").alias("r_seq"))
-    fuzzy = (first(overlap_pairs(aw, rw)).unionByName(first(containment_either(a, r)))
-             .withColumn("prio", F.lit(1)))
-    best = (exact.unionByName(fuzzy).groupBy("a_id")
-            .agg(F.min_by(F.struct("r_seq", "prio"), F.struct("prio", "r_seq")).alias("b"))
-            .select("a_id", F.col("b.r_seq").alias("r_seq"),
-                    F.when(F.col("b.prio") == 0, "exact").otherwise("fuzzy").alias("how")))
+    fuzzy = first_fuzzy(*word_numbers(*_sides(rest, report_dedup, norm_title)))
+    best = exact.unionByName(fuzzy.withColumn("how", F.lit("fuzzy")))
     return best.join(report_dedup.select(F.col("seq").alias("r_seq"), F.col("title").alias("r_title"), "score"),
-                     "r_seq")
+                     "r_seq").select("r_seq", "a_id", "how", "r_title", "score")
 
 
 def unmatched(articles: DataFrame, best: DataFrame) -> DataFrame:

@@ -11,40 +11,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions import structure as S
 from ..functions import text as T
 from ..functions import urls as U
 from ..plans.ranking import rank_within
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """``(page_id, url, title, container, paragraphs, images, videos)``; ``container`` is NULL
-    when no body container was found (C5), ``title`` NULL when the cascade found none (C3)."""
-    clean = H.clean_html(F.col("html"))
-    p = pages.select("page_id", "url", clean.alias("clean"))
-    cont = H.body_container(F.col("clean"))
-    fallback = H.text_block_paragraphs(F.col("clean"))
-    p = p.select("page_id", "url", H.page_title(F.col("clean")).alias("title"),
-                 cont.alias("container"), fallback.alias("_fb"))
-    paras = F.when(F.col("container").isNotNull(), H.paragraphs(F.col("container"))) \
-        .otherwise(F.filter(F.transform(F.col("_fb"), H.text_of), lambda x: x != ""))
-    found = F.col("container").isNotNull() | (F.size(F.col("_fb")) > 0)
-    cont_all = F.coalesce(F.col("container"), F.array_join(F.col("_fb"), ""))
-    return p.select("page_id", "url", "title",
-                    F.when(found, cont_all).alias("container"),
-                    F.when(found, paras).alias("paragraphs"),
-                    F.when(found, H.images(cont_all, T.NO_CAPTION)).alias("images"),
-                    F.when(found, H.videos(cont_all)).alias("videos"))
+PARTS = ("title", "paragraphs", "images", "videos")
+
+
+def parse_pages(pages: DataFrame, *parts: str) -> DataFrame:
+    """``(page_id, url, found)`` and the asked ``parts`` (all by default); ``found`` is false (and the
+    arrays are NULL) when the page has no body container and no fallback paragraphs (C5), ``title`` is
+    NULL when the cascade found none (C3)."""
+    c = F.col
+    p = S.with_structure(pages.select("page_id", "url", H.clean_html(c("html")).alias("clean")), "clean", H.TEXT_BLOCK)
+    p = p.withColumn("at", H.container_at(c("segs"), c("tree")))
+    p = p.withColumn("end", S.node(c("tree"), c("at"))["end"])
+    blocks = F.when(c("at").isNull(), H.text_block_paragraphs(c("tree")))    # only without a container
+    p = S.fenced(p.withColumn("blocks", blocks), "at", "end", "blocks")
+    segs, tree, at, end = c("segs"), c("tree"), c("at"), c("end")
+    found = at.isNotNull() | (F.size("blocks") > 0)
+    in_block = lambda i: F.exists("blocks", lambda b: (b < i) & (i < S.node(tree, b)["end"]))
+    imgs = F.when(at.isNotNull(), S.between(S.places(tree, "img"), at, end)).otherwise(F.filter(S.places(tree, "img"), in_block))
+    no_videos = F.array().cast("array<struct<src:string>>")      # nothing that plays lies in a paragraph
+    made = {
+        "title": lambda: H.page_title(c("clean")),
+        "paragraphs": lambda: F.when(found, F.when(at.isNotNull(), H.container_paragraphs(segs, tree, at, end))
+                                     .otherwise(H.fallback_paragraphs(segs, tree))),
+        "images": lambda: F.when(found, H.images_in(segs, tree, imgs, T.NO_CAPTION)),
+        "videos": lambda: F.when(found, F.when(at.isNotNull(), H.videos_in(segs, tree, at, end)).otherwise(no_videos)),
+    }
+    parts = parts or PARTS
+    out = p.select("page_id", "url", F.coalesce(found, F.lit(False)).alias("found"), *[made[n]().alias(n) for n in parts])
+    return S.fenced(out, "found", *parts)
 
 
 def page_paragraphs(pages: DataFrame) -> DataFrame:
     """One row per paragraph ``(page_id, pos, paragraph)``. Pages without a container
     have NULL paragraphs and ``posexplode`` emits nothing for them (no filter needed)."""
-    return parse_pages(pages).select("page_id", F.posexplode("paragraphs").alias("pos", "paragraph"))
+    return parse_pages(pages, "paragraphs").select("page_id", F.posexplode("paragraphs").alias("pos", "paragraph"))
 
 
 def page_titles(pages: DataFrame, hits: DataFrame | None = None) -> DataFrame:
     """C3 + C4: page title, else the search-hit title unless it is "No Title"."""
-    t = parse_pages(pages).select("page_id", "url", "title")
+    t = pages.select("page_id", "url", H.page_title(H.clean_html(F.col("html"))).alias("title"))
     if hits is None:
         return t
     h = hits.select("url", F.col("title").alias("hit_title"))
@@ -55,15 +66,15 @@ def page_titles(pages: DataFrame, hits: DataFrame | None = None) -> DataFrame:
 
 def page_rejects(pages: DataFrame) -> DataFrame:
     """Pages that produce no article, with the reason."""
-    p = parse_pages(pages)
-    reason = (F.when(F.col("container").isNull(), "no body container")
+    p = parse_pages(pages, "paragraphs")
+    reason = (F.when(~F.col("found"), "no body container")
               .when(F.size("paragraphs") == 0, "no text"))
     return p.select("page_id", "url", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def page_body(pages: DataFrame) -> DataFrame:
     """The body text of each accepted page (paragraphs joined by blank lines)."""
-    p = parse_pages(pages).where(F.col("container").isNotNull() & (F.size("paragraphs") > 0))
+    p = parse_pages(pages, "paragraphs").where(F.col("found") & (F.size("paragraphs") > 0))
     return p.select("page_id", F.size("paragraphs").alias("n_paragraphs"),
                     F.array_join("paragraphs", "\n\n").alias("body"))
 
@@ -78,13 +89,13 @@ def extract_links(pages: DataFrame) -> DataFrame:
 
 def media_counts(pages: DataFrame) -> DataFrame:
     """C14: kept images and videos per accepted page."""
-    p = parse_pages(pages).where(F.col("container").isNotNull() & (F.size("paragraphs") > 0))
+    p = parse_pages(pages, "paragraphs", "images", "videos").where(F.col("found") & (F.size("paragraphs") > 0))
     return p.select("page_id", F.size("images").alias("images"), F.size("videos").alias("videos"))
 
 
 def page_images(pages: DataFrame) -> DataFrame:
     """C8 + C1 + C11: kept images with absolute URL, file name and caption."""
-    p = parse_pages(pages).where(F.col("container").isNotNull())
+    p = parse_pages(pages, "images").where("found")
     e = p.select("page_id", "url", F.posexplode("images").alias("pos", "i"))
     src = U.absolutize(F.col("i.src"), H.base_of(F.col("url")))
     return e.select("page_id", "pos", src.alias("src"), F.col("i.caption").alias("caption"))
@@ -92,14 +103,14 @@ def page_images(pages: DataFrame) -> DataFrame:
 
 def page_videos(pages: DataFrame) -> DataFrame:
     """C9 + C1."""
-    p = parse_pages(pages).where(F.col("container").isNotNull())
+    p = parse_pages(pages, "videos").where("found")
     e = p.select("page_id", "url", F.posexplode("videos").alias("pos", "v"))
     return e.select("page_id", "pos", U.absolutize(F.col("v.src"), H.base_of(F.col("url"))).alias("src"))
 
 
 def article_files(pages: DataFrame) -> DataFrame:
     """C11: the article file name of each accepted page (from its title, else md5 of the URL)."""
-    p = parse_pages(pages).where(F.col("container").isNotNull() & (F.size("paragraphs") > 0))
+    p = parse_pages(pages, "title", "paragraphs").where(F.col("found") & (F.size("paragraphs") > 0))
     return p.select("page_id", "url", "title", U.article_filename(F.col("url"), F.col("title")).alias("file_name"))
 
 

@@ -18,6 +18,7 @@ from ..functions import sentiment as SF
 from ..functions import text as T
 from ..plans.joins import bounded_broadcast
 from ..plans.ranking import rank_within
+from ..plans.scratch import materialise
 
 
 def lexicon_scores(docs: DataFrame, lexicon: DataFrame, body_col: str = "body",
@@ -76,15 +77,20 @@ def details(scores: DataFrame, names: DataFrame) -> DataFrame:
 
 # ------------------------------------- reports -----------------------------------------
 
-def report_ranks(scores: DataFrame, titles: DataFrame) -> DataFrame:
-    """N1 + L1-L3: rank inside each class; positive by score desc, negative by score asc,
-    neutral by |score| asc; ties by title then id (the reference leaves them open)."""
+def report_rows(scores: DataFrame, titles: DataFrame) -> DataFrame:
+    """The rows of the report with their order key, scored once and written: the numbering reads
+    them for its boundaries, its counts and the numbers."""
     s = scores.join(titles, "doc_id").select("doc_id", "title", "label", "compound", "score")
     key = (F.when(F.col("label") == "positive", -F.col("compound"))
            .when(F.col("label") == "negative", F.col("compound"))
            .otherwise(F.abs(F.col("compound"))))
-    s = s.withColumn("_key", key)
-    r = rank_within(s, ["label"], [F.col("_key").asc(), F.col("title").asc(), F.col("doc_id").asc()])
+    return materialise(s.withColumn("_key", key), "report-rows")
+
+
+def report_ranks(rows: DataFrame) -> DataFrame:
+    """N1 + L1-L3 over ``report_rows``: rank inside each class; positive by score desc, negative by
+    score asc, neutral by |score| asc; ties by title then id (the reference leaves them open)."""
+    r = rank_within(rows, ["label"], [F.col("_key").asc(), F.col("title").asc(), F.col("doc_id").asc()])
     return r.drop("_key")
 
 
@@ -94,12 +100,13 @@ def ranked_report_lines(scores: DataFrame, titles: DataFrame) -> DataFrame:
     Section 0 holds the header and totals; sections 1-3 the class lists with a heading line
     at rank 0. Entry lines read ``"{rank}. {title} (得分: {score})"`` with three decimals.
     """
-    ranks = report_ranks(scores, titles)
+    rows = report_rows(scores, titles)
+    ranks = report_ranks(rows)
     sec = F.when(F.col("label") == "positive", 1).when(F.col("label") == "negative", 2).otherwise(3)
     entries = ranks.select(sec.alias("section"), F.col("rank"),
                            F.concat(F.col("rank").cast("string"), F.lit(". "), F.col("title"),
                                     F.lit(" (得分: "), F.col("score").cast("string"), F.lit(")")).alias("line"))
-    counts = class_counts_wide(ranks)   # same rows as the scores, already materialised by the ranking
+    counts = class_counts_wide(rows)
     # Report headings (section, rank, text; "%d" takes a count column).
     heads = [
         (0, 1, "情感分析详细结果", None), (0, 2, "==============", None), (0, 3, "汇总统计:", None),

@@ -97,19 +97,10 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """M5 over the parsed report, materialised once: the matching plans read it several
-    times (both containment directions, gram statistics, verification), so its lineage
-    (scoring → ranking → parsing) is cut with a reliable checkpoint in the session's shared
-    checkpoint folder when one is configured."""
+    """M5 over the parsed report, written once: the matching plans read it several times."""
     from ..operators.matching import dedupe_last
-    return materialize(dedupe_last(report(spark, sf)))
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    from ..session import ensure_checkpoint_dir
-    if ensure_checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df
+    from .scratch import materialise
+    return materialise(dedupe_last(report(spark, sf)), "report")
 
 
 def rendered(spark: SparkSession, sf: str) -> DataFrame:
