@@ -308,3 +308,21 @@ def test_slots_decide_over_word_lists():
     assert html_wrapper.SLOT in texts and "About us" in texts
     got = html_wrapper.main_text(page % ("Another", "text", "Buy"), main, regions, spine, constant)
     assert got == "Another\ntext"
+
+
+@pytest.mark.parametrize("n", [3, 4, 12, 40])
+def test_article_text_does_not_depend_on_the_pages_of_a_template(spark, n):
+    page = "<body><nav>menu</nav><article><p>Part of our series.</p><p>%s</p><p>Same last line.</p></article></body>"
+    rows = [(k, f"http://h/{k}", page % f"Words of page {k}.") for k in range(n)]
+    got = html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {k: f"Part of our series.\nWords of page {k}.\nSame last line." for k in range(n)}
+
+
+def test_template_texts_are_those_of_all_pages_not_of_the_sample(spark):
+    page = "<body><div class=x><div><p>%s</p><p>%s</p><p>Share this with friends</p></div></div></body>"
+    text = lambda k: f"The words of page number {k} go on and on. " * 4
+    rows = [(k, f"http://h/{k}", page % (text(k), "Seen on most pages" if k else "Not on this one")) for k in range(60)]
+    got = html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in got:
+        k = r["page_id"]
+        assert r["text"].split("\n") == [text(k).strip(), "Seen on most pages" if k else "Not on this one"]
