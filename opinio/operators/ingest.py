@@ -2,9 +2,9 @@
 U1 (union of hits in phrase order), N3 (first occurrence per URL), L7 (crawl target cap),
 L8 (per-phrase cap), M10 / M11 (skip already landed URLs / media), C15 (run report).
 
-The phrase list is a parameter of a handful of rows (the reference has 14), so it is the
-broadcast side of a non-equi join; the corpus is streamed once. First-occurrence and caps
-are aggregates / window-group-limits, never a whole group in one task.
+The phrase list may be long (the reference has 14): phrases and documents meet by equi joins on
+keys (``matching.contained_pairs``). First-occurrence and caps are aggregates /
+window-group-limits, never a whole group in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.urls import media_filename
-from ..plans.joins import bounded_broadcast
+from ..plans.scratch import materialise
+from .matching import contained_pairs
 
 PHRASE_SCHEMA = T.StructType([T.StructField("phrase_seq", T.IntegerType(), False),
                               T.StructField("phrase", T.StringType(), False)])
@@ -38,22 +39,33 @@ def ranges_df(spark: SparkSession, ranges) -> DataFrame:
     return spark.createDataFrame(rows, RANGE_SCHEMA)
 
 
+def phrase_hits(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``(phrase_seq, phrase, doc_id)`` for every document whose text contains the phrase
+    (case-insensitive), for any number of phrases.
+
+    Each phrase asks by one key: its rarest inner word, the characters around its only white space, or,
+    as a single word, the words that hold it. Documents answer by their distinct words and the
+    characters around their white space; candidates are verified in the text. All joins are
+    on these keys, so no phrase meets a document that lacks its key.
+    """
+    p = materialise(phrases.select("phrase_seq", "phrase"), "phrases")
+    x = p.select(F.col("phrase_seq").alias("x_id"), F.lower("phrase").alias("x_str"))
+    y = docs.select(F.col("doc_id").alias("y_id"), F.lower("text").alias("y_str"))
+    hits = contained_pairs(x, y).select(F.col("x_id").alias("phrase_seq"), F.col("y_id").alias("doc_id"))
+    return hits.join(p, "phrase_seq")
+
+
 def phrase_search(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """``(phrase_seq, phrase, doc_id, url, title)`` for every document whose text contains
-    the phrase (case-insensitive). ``phrases`` is a literal list → broadcast nested loop with
-    a ``contains`` condition; the corpus side is scanned once."""
-    p = bounded_broadcast(phrases.select("phrase_seq", "phrase", F.lower("phrase").alias("_lp")))
-    d = docs.select("doc_id", "url", "title", F.lower("text").alias("_lt"))
-    return d.join(p, F.instr(F.col("_lt"), F.col("_lp")) > 0).select("phrase_seq", "phrase", "doc_id", "url", "title")
+    """``(phrase_seq, phrase, doc_id, url, title)`` for every hit of ``phrase_hits``."""
+    return (phrase_hits(docs, phrases).join(docs.select("doc_id", "url", "title"), "doc_id")
+            .select("phrase_seq", "phrase", "doc_id", "url", "title"))
 
 
 def phrase_search_dated(docs: DataFrame, phrases: DataFrame, ranges: DataFrame) -> DataFrame:
-    """As M12, restricted to each phrase's publish-date ranges (both small, broadcast)."""
-    cfg = bounded_broadcast(phrases.join(ranges, "phrase_seq").select("phrase_seq", "phrase", F.lower("phrase").alias("_lp"),
-                                                               "start_date", "end_date"))
-    d = docs.select("doc_id", "url", "title", "publish_date", F.lower("text").alias("_lt"))
-    cond = (F.instr(F.col("_lt"), F.col("_lp")) > 0) & F.col("publish_date").between(F.col("start_date"), F.col("end_date"))
-    return d.join(cfg, cond).select("phrase_seq", "phrase", "doc_id", "url", "title", "publish_date").distinct()
+    """As M12, restricted to each phrase's publish-date ranges (joined on the phrase)."""
+    hits = phrase_hits(docs, phrases).join(docs.select("doc_id", "url", "title", "publish_date"), "doc_id")
+    return (hits.join(ranges, "phrase_seq").where(F.col("publish_date").between(F.col("start_date"), F.col("end_date")))
+            .select("phrase_seq", "phrase", "doc_id", "url", "title", "publish_date").distinct())
 
 
 def per_phrase_cap(hits: DataFrame, cap: int = MAX_PAGES_PER_PHRASE * RESULTS_PER_PAGE) -> DataFrame:

@@ -1,16 +1,14 @@
 """W11 [ours]: n-gram document search, the capability the schema declares with an n-gram
-full-text index on (title, content). Character bigrams (whitespace-free) of each query
-phrase are matched inside the document text; relevance = number of the phrase's bigrams
-found. The phrase list is a literal parameter (broadcast); documents are scanned once.
+full-text index on (title, content). Phrases and documents meet by an equi join on their distinct
+character bigrams (whitespace-free); relevance = number of the phrase's bigrams in the
+document, a count per (phrase, document) with a partial aggregate before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
-
 NGRAM = 2
 
 
@@ -21,11 +19,17 @@ def phrase_ngrams(phrase):
     return F.array_distinct(F.filter(grams, lambda g: (F.length(g) == NGRAM) & ~g.rlike("\\s")))
 
 
+def text_bigrams(text: Column) -> Column:
+    """The distinct whitespace-free bigrams of a text, each from two neighbouring characters."""
+    of = lambda chars: F.transform(chars, lambda c, i: F.concat(c, F.coalesce(F.get(chars, i + 1), F.lit(""))))
+    grams = F.transform(F.array(F.split(F.lower(text), "")), of)[0]
+    return F.filter(F.array_distinct(grams), lambda g: (F.length(g) == NGRAM) & ~g.rlike("\\s"))
+
+
 def ngram_search(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """``(phrase_seq, doc_id, shared, n_grams)`` for documents sharing at least one bigram."""
-    p = bounded_broadcast(phrases.select("phrase_seq", phrase_ngrams(F.col("phrase")).alias("grams")))
-    d = docs.select("doc_id", F.lower(F.concat_ws(" ", "title", "text")).alias("_t"))
-    j = d.join(p, F.size("grams") > 0)
-    shared = F.size(F.filter("grams", lambda g: F.instr(F.col("_t"), g) > 0))
-    return (j.select("phrase_seq", "doc_id", shared.alias("shared"), F.size("grams").alias("n_grams"))
-            .where(F.col("shared") > 0))
+    grams = phrases.select("phrase_seq", phrase_ngrams(F.col("phrase")).alias("grams"))
+    p = grams.select("phrase_seq", F.size("grams").alias("n_grams"), F.explode("grams").alias("gram"))
+    d = docs.select("doc_id", F.explode(text_bigrams(F.concat_ws(" ", "title", "text"))).alias("gram"))
+    return (d.join(p, "gram").groupBy("phrase_seq", "doc_id", "n_grams").agg(F.count(F.lit(1)).cast("int").alias("shared"))
+            .select("phrase_seq", "doc_id", "shared", "n_grams"))
