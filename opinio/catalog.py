@@ -359,6 +359,24 @@ def q_hot_keywords_upsert(spark, sf):
     return K.upsert_hot_keywords(existing, incoming)
 
 
+@register("hot_keywords_stored", _UPSERT_SQL)
+def q_hot_keywords_stored(spark, sf):
+    """K5 against a stored table: two loads, the second one run twice."""
+    import uuid
+
+    from .operators import wordfreq as WF
+    from .plans.scratch import shared_folder
+    from .sinks import merge as MG
+    path = f"{shared_folder(spark)}/opinio/hot-keywords-{uuid.uuid4().hex}"
+    first = K.hot_keywords(K.sheet_from_top_words(WF.top_words(MD.conversation_bodies(spark, sf), 100)),
+                           MD.STAT_DATE, now=f"{MD.STAT_DATE} 00:00:00")
+    second = K.hot_keywords(MD.sheet(spark, sf), MD.STAT_DATE, now=f"{MD.STAT_DATE} 12:00:00")
+    for load, rows in (("first", first), ("second", second), ("second", second)):
+        MG.merge_into(rows, path, ["keyword", "source", "stat_date"], load, first_wins=("create_time",))
+    return MG.read_stored(spark, path, first.schema).select(
+        "keyword", "source", "stat_date", "count", "heat_score", "create_time", "update_time")
+
+
 @register("rejects", f"""
 WITH {D.BODY_CTE}, {D.WORDS_CTE},
 counts AS (SELECT word, count(*) AS count FROM words GROUP BY word),
@@ -939,6 +957,20 @@ def q_load_corpus(spark, sf):
     return SK.to_corpus(scanned, LOAD_SOURCE, LOAD_MEDIA, id_col="doc_id")
 
 
+@register("load_corpus_stored", ORACLE["load_corpus"])
+def q_load_corpus_stored(spark, sf):
+    """K1 against a stored table: half of the articles, then all of them twice; each is stored once."""
+    import uuid
+
+    from .plans.scratch import shared_folder
+    from .sinks import merge as MG
+    path = f"{shared_folder(spark)}/opinio/corpus-{uuid.uuid4().hex}"
+    rows = q_load_corpus(spark, sf)
+    for load, part in (("half", rows.where("id % 2 = 0")), ("all", rows), ("all again", rows)):
+        MG.merge_into(part, path, ["id"], load, update=False)
+    return MG.read_stored(spark, path, rows.schema)
+
+
 @register("load_sentiment_matched", f"""
 WITH {D.REPORT_CTE}, {D.ARTICLES_CTE}, {D.BEST_CTE},
 b AS (SELECT best.a_id, CASE WHEN p = 0 THEN 'exact' ELSE 'fuzzy' END AS how, d.score FROM best JOIN dedup d ON best.r_seq = d.seq)
