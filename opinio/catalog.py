@@ -661,6 +661,46 @@ def q_article_filename(spark, sf):
     return P.article_files(_pages(spark, sf))
 
 
+# The media stand-in's rows by its own rule; what the job finds on the pages must equal them.
+_MEDIA_CTE = f"""
+mp AS (SELECT page_id, {D.base_of('url')} AS base FROM pages WHERE contains(html, '</article>')),
+im AS (SELECT *, unnest(range(page_id % 4)) AS j FROM mp),
+ki AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY j) - 1 AS INTEGER) AS pos, j, base || '/img/' || page_id || '-' || j AS src,
+              CASE WHEN (page_id + j) % 3 <> 0 THEN 'Picture ' || j || ' of ' || page_id ELSE {D.q(TX.NO_CAPTION)} END AS caption
+       FROM im WHERE ((page_id + j) * 40) % 300 >= 100),
+kv AS (SELECT page_id, 0 AS pos, CASE page_id % 5 WHEN 0 THEN 'https://media.example/' || page_id ELSE base || '/player/' || page_id END AS src, page_id % 5 AS how
+       FROM mp WHERE page_id % 5 < 2)"""
+
+
+@register("media_page_images", f"WITH {_MEDIA_CTE} SELECT page_id, pos, src, caption FROM ki")
+def q_media_page_images(spark, sf):
+    return P.page_images(MD.media_pages(spark, sf))
+
+
+# a player frame counts as a player and as its container's first frame
+@register("media_page_videos", f"""WITH {_MEDIA_CTE}
+SELECT page_id, pos, src FROM kv UNION ALL SELECT page_id, 1, src FROM kv WHERE how = 1""")
+def q_media_page_videos(spark, sf):
+    return P.page_videos(MD.media_pages(spark, sf))
+
+
+@register("media_page_counts", f"""WITH {_MEDIA_CTE}
+SELECT page_id, CAST((SELECT count(*) FROM ki WHERE ki.page_id = mp.page_id) AS INTEGER) AS images,
+       CAST(CASE page_id % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS INTEGER) AS videos FROM mp""")
+def q_media_page_counts(spark, sf):
+    return P.media_counts(MD.media_pages(spark, sf).where(F.contains("html", F.lit("</article>"))))
+
+
+@register("media_files", f"""WITH {_MEDIA_CTE},
+m AS (SELECT page_id, 'image' AS kind, pos, src, caption, CASE (page_id + j) % 4 WHEN 0 THEN '.png' WHEN 1 THEN '.webp' ELSE '.jpg' END AS ext,
+             page_id % 7 = 0 AND (page_id + j) % 4 < 3 AS landed FROM ki
+      UNION ALL SELECT page_id, 'video', pos, src, NULL, '.mp4', false FROM kv
+      UNION ALL SELECT page_id, 'video', 1, src, NULL, '.mp4', false FROM kv WHERE how = 1)
+SELECT page_id, kind, pos, src, caption, md5(src) || ext AS file_name FROM m WHERE NOT landed""")
+def q_media_files(spark, sf):
+    return P.media_files(MD.media_pages(spark, sf), MD.media_answers(spark, sf), MD.landed_media(spark, sf))
+
+
 @register("media_counts")
 def q_media_counts(spark, sf):
     return P.media_counts(_pages(spark, sf))

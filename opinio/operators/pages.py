@@ -15,6 +15,7 @@ from ..functions import structure as S
 from ..functions import text as T
 from ..functions import urls as U
 from ..plans.ranking import rank_within
+from .ingest import new_media_only
 
 
 PARTS = ("title", "paragraphs", "images", "videos")
@@ -94,7 +95,7 @@ def media_counts(pages: DataFrame) -> DataFrame:
 
 
 def page_images(pages: DataFrame) -> DataFrame:
-    """C8 + C1 + C11: kept images with absolute URL, file name and caption."""
+    """C8 + C1: kept images with absolute URL and caption (``media_files`` adds the file names)."""
     p = parse_pages(pages, "images").where("found")
     e = p.select("page_id", "url", F.posexplode("images").alias("pos", "i"))
     src = U.absolutize(F.col("i.src"), H.base_of(F.col("url")))
@@ -108,6 +109,25 @@ def page_videos(pages: DataFrame) -> DataFrame:
     return e.select("page_id", "pos", U.absolutize(F.col("v.src"), H.base_of(F.col("url"))).alias("src"))
 
 
+def media_files(pages: DataFrame, content_types: DataFrame, landed: DataFrame) -> DataFrame:
+    """C8-C11 + M11 as one job: ``(page_id, kind, pos, src, caption, file_name)`` of the kept images and
+    videos whose absolute URL is not landed yet.
+
+    ``content_types`` has ``(src, content_type)`` of the media that answered; its join gives the file
+    name's extension (the default of the kind where nothing or nothing known came back).
+    ``landed`` has the ``src`` of media already stored.
+    """
+    p = parse_pages(pages, "images", "videos").where("found")
+    def one(kind: str, caption) -> DataFrame:
+        e = p.select("page_id", "url", F.posexplode(f"{kind}s").alias("pos", "m"))
+        return e.select("page_id", F.lit(kind).alias("kind"), "pos", U.absolutize(F.col("m.src"), H.base_of(F.col("url"))).alias("src"), caption.alias("caption"))
+    media = one("image", F.col("m.caption")).unionByName(one("video", F.lit(None).cast("string")))
+    types = content_types.groupBy("src").agg(F.max("content_type").alias("content_type"))     # one row per URL
+    typed = media.join(types, "src", "left").withColumn("ext", F.when(
+        F.col("kind") == "image", U.media_extension(F.col("content_type"))).otherwise(U.media_extension(F.col("content_type"), "video")))
+    return new_media_only(typed, landed).select("page_id", "kind", "pos", "src", "caption", "file_name")
+
+
 def article_files(pages: DataFrame) -> DataFrame:
     """C11: the article file name of each accepted page (from its title, else md5 of the URL)."""
     p = parse_pages(pages, "title", "paragraphs").where(F.col("found") & (F.size("paragraphs") > 0))

@@ -140,3 +140,34 @@ def landed_urls(spark: SparkSession, sf: str) -> DataFrame:
     """URLs already landed: the loaded (labelled) articles."""
     ids = S.labelled_ids(spark, sf)
     return ids.select(article_url(F.col("corpus_id")).alias("url"))
+
+
+# ------------------------------------ media stand-in -----------------------------------
+
+def media_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages with figures, pictures and players before the end of each article: ``page_id % 4`` images
+    (some narrow, some without a caption) and, on some pages, a video or a player."""
+    p = S.read_table(spark, sf, "pages", text_work=True)
+    k, text = F.col("page_id"), lambda *parts: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in parts])
+    def figure(j):
+        width = ((k + j) * 40 % 300).cast("string")
+        caption = F.when((k + j) % 3 != 0, text("<figcaption>Picture ", j.cast("string"), " of ", k.cast("string"), "</figcaption>")).otherwise("")
+        return text('<figure><div><img width="', width, '" src="/img/', k.cast("string"), "-", j.cast("string"), '"></div>', caption, "</figure>")
+    figures = F.array_join(F.transform(F.filter(F.sequence(F.lit(0), F.lit(3)), lambda j: j < k % 4), figure), "")
+    player = (F.when(k % 5 == 0, text('<video src="//media.example/', k.cast("string"), '"></video>'))
+              .when(k % 5 == 1, text("<div data-e2e='media-player'><iframe src='/player/", k.cast("string"), "'></iframe></div>")).otherwise(""))
+    return p.withColumn("html", F.replace(F.col("html"), F.lit("</article>"), F.concat(figures, player, F.lit("</article>"))))
+
+
+def media_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed answers ``(src, content_type)`` for the images of ``media_pages``; every fourth is missing."""
+    from ..functions import html as H
+    p = S.read_table(spark, sf, "pages").select("page_id", H.base_of(F.col("url")).alias("base"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("j"))
+    kind = F.element_at(F.array(F.lit("image/png"), F.lit("image/webp; q=1"), F.lit("image/jpeg")), ((F.col("page_id") + F.col("j")) % 4 + 1).cast("int"))
+    return p.where((F.col("page_id") + F.col("j")) % 4 < 3).select(
+        F.concat("base", F.lit("/img/"), F.col("page_id").cast("string"), F.lit("-"), F.col("j").cast("string")).alias("src"), kind.alias("content_type"))
+
+
+def landed_media(spark: SparkSession, sf: str) -> DataFrame:
+    """Media stored before: those of every seventh page."""
+    return media_answers(spark, sf).where(F.regexp_extract("src", "/img/([0-9]+)-", 1).cast("long") % 7 == 0).select("src")
