@@ -82,7 +82,7 @@ def test_bands_reach_the_recall():
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE))
 def test_query_equals_its_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.sql(LLM_ORACLE[name])
     cols = sorted(want.columns)
