@@ -886,6 +886,33 @@ def q_cascade_delete(spark, sf):
                                                                             "sentiment_score")
 
 
+@register("source_statistics_incremental", f"""
+WITH {D.CORPUS_CTE}, {D.SENT_CTE}, gone AS (SELECT doc_id FROM labels WHERE toxic = 1),
+j AS (SELECT c.source, c.type, sa.sentiment, sa.sentiment_score FROM corpus c
+      LEFT JOIN sentiment_analysis sa ON c.id = sa.corpus_id WHERE c.id NOT IN (SELECT doc_id FROM gone))
+SELECT DATE '{MD.STAT_DATE}' AS stat_date, source, count(*) AS total_count,
+       count(*) FILTER (WHERE type = 'text') AS text_count, count(*) FILTER (WHERE type = 'image') AS image_count,
+       count(*) FILTER (WHERE type = 'video') AS video_count,
+       count(*) FILTER (WHERE sentiment = 'positive') AS positive_count,
+       count(*) FILTER (WHERE sentiment = 'neutral') AS neutral_count,
+       count(*) FILTER (WHERE sentiment = 'negative') AS negative_count,
+       {D.avg6_to2('sentiment_score')} AS avg_sentiment
+FROM j GROUP BY source""")
+def q_source_statistics_incremental(spark, sf):
+    """G1 from the state of three loads (one run twice) and a deletion."""
+    import uuid
+
+    from .operators import stats_state as ST
+    from .plans.scratch import materialise, shared_folder
+    path = f"{shared_folder(spark)}/opinio/statistics-{uuid.uuid4().hex}"
+    corpus, sentiment = S.corpus(spark, sf), materialise(MD.sentiment_table(spark, sf), "sentiment")
+    for load in (0, 1, 2, 1):
+        ST.add_load(corpus.where(F.col("id") % 3 == load), sentiment.where(F.col("corpus_id") % 3 == load), path, f"load {load}")
+    deleted = S.read_table(spark, sf, "labels").where(F.col("toxic") == 1).select(F.col("doc_id").alias("id"))
+    ST.subtract(corpus, sentiment, deleted, path, "toxic")
+    return ST.source_statistics(ST.state(spark, path), MD.STAT_DATE)
+
+
 @register("cascade_delete_keywords", f"""
 WITH {D.KEYWORDS_CTE}
 SELECT corpus_id, keyword FROM keywords

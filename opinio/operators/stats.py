@@ -64,6 +64,11 @@ def media_activity(corpus: DataFrame) -> DataFrame:
     month = F.date_format("publish_date", "yyyy-MM")
     by_source = (corpus.groupBy("media_name", "source", month.alias("stat_month"))
                  .agg(F.count(F.lit(1)).alias("_n")))
+    return activity_of(by_source)
+
+
+def activity_of(by_source: DataFrame) -> DataFrame:
+    """G5 from counts ``_n`` per media, source and month."""
     per = (by_source.groupBy("media_name", "stat_month")
            .agg(F.sum("_n").alias("article_count"), F.min_by("source", F.struct(-F.col("_n"), "source")).alias("source")))
     mx = per.groupBy("stat_month").agg(F.max("article_count").alias("_max"))
