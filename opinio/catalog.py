@@ -496,6 +496,17 @@ def q_parse_ranked_report(spark, sf):
     return MD.report(spark, sf)
 
 
+@register("search_results_load", """
+SELECT CASE WHEN doc_id % 13 <> 5 THEN 'https://news.example/' || doc_id END AS url,
+       CASE WHEN doc_id % 13 <> 5 THEN split_part(text, chr(10), 1) END AS title,
+       CASE WHEN doc_id % 13 = 5 THEN '{"url":"https://news.example/' || doc_id || '","title":' END AS reject
+FROM documents""")
+def q_search_results_load(spark, sf):
+    """S5 with K6: hits and rejects of landed search-result files with broken lines."""
+    from .sources import reports as R
+    return R.read_search_hits(spark, MD.search_files(spark, sf)).select("url", "title", "reject")
+
+
 @register("dedupe_last", f"WITH {D.REPORT_CTE} SELECT title, score, seq FROM dedup")
 def q_dedupe_last(spark, sf):
     return MD.report_dedup(spark, sf)

@@ -171,3 +171,18 @@ def media_answers(spark: SparkSession, sf: str) -> DataFrame:
 def landed_media(spark: SparkSession, sf: str) -> DataFrame:
     """Media stored before: those of every seventh page."""
     return media_answers(spark, sf).where(F.regexp_extract("src", "/img/([0-9]+)-", 1).cast("long") % 7 == 0).select("src")
+
+
+def search_files(spark: SparkSession, sf: str) -> str:
+    """Stand-in for landed search results: a folder of JSON lists, one hit a line with the URL and first line of each document;
+    the line of every 13th document ends after its URL."""
+    import uuid
+
+    from .scratch import shared_folder
+    path = f"{shared_folder(spark)}/opinio/search-{uuid.uuid4().hex}"
+    url = F.concat(F.lit("https://news.example/"), F.col("doc_id"))
+    hit = F.struct(url.alias("url"), F.substring_index("text", "\n", 1).alias("title"))
+    cut = F.concat(F.lit('{"url":"'), url, F.lit('","title":'))
+    S.read_table(spark, sf, "documents").select(
+        F.when(F.col("doc_id") % 13 == 5, cut).otherwise(F.concat(F.to_json(hit), F.lit(","))).alias("value")).write.text(path)
+    return path

@@ -46,6 +46,56 @@ def test_search_results_and_first_existing(spark, tmpdir_fresh):
     assert {r["total_articles"] for r in rep} == {2}
 
 
+def hits_of(spark, folder, name, text):
+    p = os.path.join(folder, name)
+    with open(p, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    return [(r["seq"], r["url"], r["title"], r["reject"]) for r in R.read_search_hits(spark, p).orderBy("seq", "url").collect()]
+
+
+def test_search_hits_forms(spark, tmpdir_fresh):
+    hits = [{"url": f"u{i}", "title": t} for i, t in enumerate(
+        ["plain", "a } b", 'q "}, {" q', "x}, {\\\"url\\\": 1}", "[list] ]}", "", "ü \n line", "{}"])]
+    hits.insert(3, {"extra": {"k": {"n": 1}}, "url": "n", "title": "nested", "tags": ["a"]})
+    want = [(i, h["url"], h["title"], None) for i, h in enumerate(hits)]
+    forms = {"array": json.dumps(hits), "indented": json.dumps(hits, indent=2, ensure_ascii=False),
+             "report": json.dumps({"total_articles": 9, "articles": hits}), "report2": json.dumps({"m": {"x": 1}, "articles": hits, "total": 9}, indent=4),
+             "lines": "\n".join(json.dumps(h) for h in hits), "lines_end": "".join(json.dumps(h) + "\n" for h in hits), "crlf": json.dumps(hits, indent=1).replace("\n", "\r\n")}
+    for name, text in forms.items():
+        assert hits_of(spark, tmpdir_fresh, name, text) == want, name
+    for name, text in {"e1": "", "e2": "[]", "e3": '{"total_articles": 0, "articles": []}', "e4": '{"articles": [], "total_articles": 0}\n'}.items():
+        assert hits_of(spark, tmpdir_fresh, name, text) == [], name
+
+
+def test_search_hits_broken_elements(spark, tmpdir_fresh):
+    good = [json.dumps({"url": f"u{i}", "title": f"t{i}"}) for i in range(4)]
+    for sep in (", ", ",\n  "):
+        for k, bad in enumerate(['{"url": "x", "title": "cut', '{"url": "x", "title": }', '{"url": "x" "title": "y"}', '{"title": "no url"}', "{}"]):
+            got = hits_of(spark, tmpdir_fresh, f"b{k}{len(sep)}", "[" + sep.join([good[0], good[1], bad, *good[2:]]) + "]")
+            assert [g[:3] for g in got if g[3] is None] == [(0, "u0", "t0"), (1, "u1", "t1"), (3, "u2", "t2"), (4, "u3", "t3")], bad
+            assert [(g[0], g[3]) for g in got if g[3] is not None] == [(2, bad)]
+    got = hits_of(spark, tmpdir_fresh, "junk", "[null, " + ", 42, ".join(good[:2]) + ', "text"]')
+    assert sorted((g[0], g[3]) for g in got if g[3]) == [(-1, "null"), (0, "42"), (1, '"text"')] and len(got) == 5
+    got = hits_of(spark, tmpdir_fresh, "end", "[" + ", ".join(good)[:-4])
+    assert [g[1] for g in got] == ["u0", "u1", "u2", None] and got[3][3].startswith('{"url": "u3"')
+
+
+def test_search_hits_in_splits(spark, tmpdir_fresh):
+    """Splits cut hits anywhere; numbers and hits are those of the whole file, plain in the plan."""
+    hits = [{"url": f"u{i}", "title": "}{"[i % 2] * (i % 5) + f" title {i}"} for i in range(3000)]
+    p = os.path.join(tmpdir_fresh, "big.json")
+    with open(p, "w") as f:
+        json.dump({"total_articles": len(hits), "articles": hits}, f)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        got = R.read_search_hits(spark, p).orderBy("seq").collect()
+        assert spark.read.option("lineSep", "}").text(p).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(g["seq"], g["url"], g["title"]) for g in got] == [(i, h["url"], h["title"]) for i, h in enumerate(hits)]
+
+
 def test_read_sheet_csv(spark, tmpdir_fresh):
     p = os.path.join(tmpdir_fresh, "sheet.csv")
     with open(p, "w") as f:
