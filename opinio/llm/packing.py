@@ -17,6 +17,7 @@ packed each; nothing is dropped; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -48,13 +49,22 @@ def byte_letters() -> dict[int, str]:
 BYTE_LETTERS = byte_letters()
 
 
+#: The normaliser and splitter whose work on plain texts ``WordTokenizer`` does itself.
+WORD_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
 class WordTokenizer:
-    """Ids of whole texts by a ``tokenizers`` file.
+    """Ids of whole texts by any ``tokenizers`` file.
 
-    Where a text has only ASCII and Latin-1 letters, its lower-case words go through the file's
-    merges one by one and are remembered: the file's normaliser and splitter do nothing else with
-    such texts, and words are merged independently. Any other text goes through the tokenizer as
-    it is.
+    If the file normalises and splits by ``WORD_NORMALIZER`` and ``WORD_SPLITTER``, a text of only ASCII and
+    Latin-1 letters goes through the file's merges word by word, and words are remembered: normaliser and
+    splitter do nothing else with such texts, and words are merged independently. Any other text, and
+    every text of any other file, goes through the tokenizer as it is. Texts are never cut or padded, whatever the file says.
     """
 
     #: Characters whose NFC form, lower case and class are the same in every Unicode version.
@@ -65,9 +75,20 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.by_word = self._is_expected()
         self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
 
+    def _is_expected(self) -> bool:
+        t = self.tokenizer
+        if t.normalizer is None or t.pre_tokenizer is None or type(self.model).__name__ != "BPE" or self.model.dropout:
+            return False
+        added = [a.content for a in t.get_added_tokens_decoder().values()]
+        return (json.loads(t.normalizer.__getstate__()) == WORD_NORMALIZER and json.loads(t.pre_tokenizer.__getstate__()) == WORD_SPLITTER
+                and all(a.startswith("<|") for a in added))
+
     def _word(self, word: str) -> bytes:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
@@ -76,7 +97,7 @@ class WordTokenizer:
         return ids
 
     def encode(self, text: str) -> np.ndarray:
-        if "<|" in text or not self.PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
+        if not self.by_word or "<|" in text or not self.PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         get = self.known.get
         return np.frombuffer(b"".join([get(w) or self._word(w) for w in self.SPLIT.findall(text.lower())]), np.uint32)
