@@ -224,11 +224,13 @@ def near_duplicates(held: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = known.join(heads, "component").select(
         "_key", "class_id", "_head", (F.coalesce("_links", F.lit(0)) + F.col("_copies") - 1).alias("n_links"))
     out = sketched.select("_row", "_id", "_key").join(known, "_key", "left")
-    first = out.where("_key IS NOT NULL AND _id <=> class_id").groupBy("_head").agg(F.min("_row").alias("_keep"))
-    return out.join(first, "_head", "left").select(
+    # the kept row of a class is met on its own number, not on the class: a class may hold most rows
+    first = (out.where("_key IS NOT NULL AND _id <=> class_id").groupBy("_head").agg(F.min("_row").alias("_row"))
+             .select("_row", F.lit(True).alias("_keep")))
+    return out.join(first, "_row", "left").select(
         "_row", "_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("_key").isNull(), F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
-        (F.col("_key").isNull() | (F.col("_row") == F.col("_keep"))).alias("kept"))
+        (F.col("_key").isNull() | F.col("_keep").isNotNull()).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,

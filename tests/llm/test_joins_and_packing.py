@@ -326,3 +326,22 @@ def test_template_texts_are_those_of_all_pages_not_of_the_sample(spark):
     for r in got:
         k = r["page_id"]
         assert r["text"].split("\n") == [text(k).strip(), "Seen on most pages" if k else "Not on this one"]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_those_of_any_tokenizer_file(name):
+    import public_tokenizers
+    words = packing.WordTokenizer(public_tokenizers.path(name))
+    texts = ["", "Plain words, it's 2024!", "  two  spaces\tTAB\n\nline", "Ünï é ß", "naïve <|endoftext|> x", "日本 text", "a'S don'T ''ll"]
+    texts += [t or "" for t in duckdb.sql(f"SELECT text FROM '{SMALL}/documents.parquet'").df()["text"]]
+    assert words.by_word == (name == "word_bpe_49k.json")
+    for t in texts:
+        assert words.encode(t).tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_one_row_of_a_class_is_kept(spark):
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(5, text), (3, text), (3, text), (9, "other words stand here now"), (None, text), (7, None), (8, "")], "doc_id long, text string")
+    kept = ngram_join.deduplicate(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["text"]) == [(3, text), (9, "other words stand here now")]
+    assert sorted(r["doc_id"] for r in kept if not r["text"]) == [7, 8]
