@@ -6,6 +6,9 @@ replaces those parts by dynamic partition overwrite; all other files stay as the
 beside the table names the loads that ended: running one of them again does nothing. A load
 that broke off is simply run again, since merging the same rows twice changes nothing.
 
+A load that never changes stored rows copies none either: it reads the stored keys, and adds files
+with the rows of new keys to their parts.
+
 One writer at a time; ``parts`` belongs to the table and must not change between its loads.
 """
 
@@ -43,6 +46,41 @@ def read_stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.createDataFrame([], schema) if stored is None else stored.drop("_part")
 
 
+def _same_key(a: DataFrame, b: DataFrame, keys: list[str]):
+    """Equal keys; nulls are equal to each other."""
+    same = F.lit(True)
+    for k in [*keys, "_part"]:
+        same = same & a[k].eqNullSafe(b[f"_of_{k}"])
+    return same
+
+
+def _append_new(new: DataFrame, path: str, keys: list[str], schema: StructType, touched: list[int]) -> None:
+    """Add the rows of ``new`` (a written table) whose keys are not stored. Contents are read and written once;
+    only keys are compared."""
+    spark, key, values = new.sparkSession, [*keys, "_part"], [c for c in schema.names if c not in keys]
+    named = lambda df, *more: df.select(*[F.col(c).alias(f"_of_{c}") for c in key], *more)
+    come = new.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = come.where("_n > 1")
+    stored = _read(spark, path, StructType([*schema.fields]).add("_part", IntegerType()))
+    if stored is not None:
+        held = named(stored.where(F.col("_part").isin(touched)).select(*key))
+        come = materialise(come.join(held, _same_key(come, held, keys), "left_anti"), "merge-new-keys")
+        n = come.count()
+        if not n:
+            return
+        repeated = come.where("_n > 1")
+        if n < new.count() or not repeated.isEmpty():
+            fresh = named(come)
+            new = new.join(fresh, _same_key(new, fresh, keys), "left_semi")
+    if not repeated.isEmpty():
+        again = named(repeated)
+        value = F.struct(*values) if values else F.lit(0)
+        one = (new.join(again, _same_key(new, again, keys), "left_semi").groupBy(*key).agg(F.max(value).alias("value"))
+               .select(*[F.col(c) if c in keys else F.col(f"value.{c}").alias(c) for c in schema.names], "_part"))
+        new = new.join(again, _same_key(new, again, keys), "left_anti").unionByName(one)
+    new.repartition("_part").write.mode("append").partitionBy("_part").parquet(path)
+
+
 def merge_into(incoming: DataFrame, path: str, keys: list[str], load_id: str, first_wins: tuple[str, ...] = (),
                update: bool = True, parts: int = PARTS) -> bool:
     """Merge ``incoming`` into the stored table at ``path``; False if ``load_id`` already ended.
@@ -60,7 +98,9 @@ def merge_into(incoming: DataFrame, path: str, keys: list[str], load_id: str, fi
     new = materialise(incoming.withColumn("_part", part), "merge-incoming")
     touched = sorted(r["_part"] for r in new.select("_part").distinct().collect())          # at most ``parts`` numbers
     rows = new.count()
-    if touched:
+    if touched and not update:
+        _append_new(new, path, keys, schema, touched)
+    elif touched:
         both = new.withColumn("_new", F.lit(1))
         stored = _read(spark, path, StructType([*schema.fields]).add("_part", IntegerType()))
         if stored is not None:
